@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
+from .decontam import find_leaks
 from .linededup import dedup_lines
+from .packing import pack, token_counts
+from .quality import fit_classifier, labelled_sample, score
 from .simhash import fingerprint_hex, near_duplicates
 
 
@@ -18,6 +21,23 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", fingerprint_hex().alias("fingerprint"), "component_id")
 
 
+def op2_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that leak a benchmark item, with re-parameterised ones: 5-word template windows over 0.8 of it."""
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=5, literals=3, coverage=0.8)
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Optimal length buckets for token sequences of ``documents``, in batches of 65,536 tokens."""
+    return pack(token_counts(table(spark, sf_dir, "documents")), max_len=2048, buckets=8, token_budget=65_536)
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posterior quality of every document; source is the host and language the path below it."""
+    docs = table(spark, sf_dir, "documents")
+    model = fit_classifier(labelled_sample(docs, table(spark, sf_dir, "labels"), max_train=12_000))
+    return score(docs, model, host_col="source", path_col="lang").select("doc_id", "source", "lang", "evidence", "host_rate", "path_rate", "quality_score", "keep")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of 40 code points or more in 5 or more documents, kept in the last document only."""
     kept = dedup_lines(table(spark, sf_dir, "documents"), min_chars=40, min_docs=5)
@@ -26,6 +46,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_decontam": op2_decontam,
+    "op7_packing": op7_packing,
+    "op9_quality": op9_quality,
     "op10_line_dedup": op10_line_dedup,
 }
 
