@@ -1,12 +1,71 @@
-"""The corpus pipeline (stages follow)."""
+"""The corpus pipeline: quality, repeated lines, near duplicates, benchmark leaks, packing."""
 
-STAGES = []
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corpuskit.llm.common import shared_dir, table
+from corpuskit.llm.decontam import drop_leaks
+from corpuskit.llm.linededup import dedup_lines
+from corpuskit.llm.packing import pack, token_counts
+from corpuskit.llm.quality import fit_classifier, labelled_sample, score
+from corpuskit.llm.simhash import near_duplicates
+
+#: The classifier is fitted on at most so many labelled documents.
+MAX_TRAIN = 12_000
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier keeps."""
+    model = fit_classifier(labelled_sample(docs, table(spark, sf_dir, "labels"), max_train=MAX_TRAIN))
+    return score(docs, model).where("keep").select(*docs.columns)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that others repeat; ``n_chars`` follows the text."""
+    kept = dedup_lines(docs)
+    return kept.withColumn("n_chars", F.char_length(F.coalesce("text", F.lit(""))).cast("bigint")).select(*docs.columns)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates; a null id is kept."""
+    found = near_duplicates(docs)
+    lost = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__lost")).distinct()
+    return docs.join(lost, F.col("doc_id") == F.col("__lost"), "left_anti").dropDuplicates(["doc_id"])
+
+
+def leak_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that leak no benchmark item."""
+    return drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every token sequence of the remaining documents with its bucket, batch and slot."""
+    return pack(token_counts(docs))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", quality_stage),
+    ("line dedup", line_stage),
+    ("SimHash near-dedup", near_stage),
+    ("benchmark decontamination", leak_stage),
+    ("packing", packing_stage),
+]
+
+#: The classifier, the fingerprints and the tokenizer are beyond SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """All stages on the documents of a folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on the documents of a folder; each stage is written to the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    shared = shared_dir(spark)
+    run_id = spark.sparkContext.applicationId + "-" + str(spark.sparkContext._jvm.System.nanoTime())
+    for k, (_, stage) in enumerate(STAGES):
+        path = f"{shared}/pipeline-{run_id}/{k}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs
