@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from .common import table
 from .decontam import find_leaks
 from .linededup import dedup_lines
+from .media import media_features, with_media
 from .packing import pack, token_counts
 from .quality import fit_classifier, labelled_sample, score
 from .simhash import fingerprint_hex, near_duplicates
+from .urlfilter import Rule, filter_urls, fit_urls, labelled_pages
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +28,33 @@ def op2_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), width=5, literals=3, coverage=0.8)
 
 
+#: Rules of the production filter.
+URL_RULES = [
+    Rule("allow", "com", "/"),
+    Rule("block", "example.com", "/en/"),
+    Rule("allow", "www.example.com", "/en/"),
+    Rule("block", "net", "/es/"),
+    Rule("block", "net", "/fr/"),
+]
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts for every page url: the longest fitting rule's, else the boosted trees'."""
+    pages = table(spark, sf_dir, "pages")
+    model = fit_urls(labelled_pages(pages, table(spark, sf_dir, "labels")), max_train=20_000)
+    return filter_urls(pages, model, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "block_score")
+
+
+def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text as baseline JPEG, and what its stored bytes say when read back."""
+    media = with_media(table(spark, sf_dir, "documents"))
+    read = media_features(media)
+    return read.select(
+        "doc_id", "n_bytes", F.octet_length("thumbnail").cast("long").alias("payload_bytes"), F.col("thumbnail_sha256").alias("payload_sha256"),
+        "tail_crc32", "media_bytes", "media_sha256", "feature",
+    )
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Optimal length buckets for token sequences of ``documents``, in batches of 65,536 tokens."""
     return pack(token_counts(table(spark, sf_dir, "documents")), max_len=2048, buckets=8, token_budget=65_536)
@@ -47,6 +76,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_decontam": op2_decontam,
+    "op3_url_filter": op3_url_filter,
+    "op4_media": op4_media,
     "op7_packing": op7_packing,
     "op9_quality": op9_quality,
     "op10_line_dedup": op10_line_dedup,
