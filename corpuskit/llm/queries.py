@@ -14,6 +14,7 @@ from .media import media_features, with_media
 from .packing import pack, token_counts
 from .quality import fit_classifier, labelled_sample, score
 from .simhash import fingerprint_hex, near_duplicates
+from .tokenout import write_tokens
 from .urlfilter import Rule, filter_urls, fit_urls, labelled_pages
 
 
@@ -60,6 +61,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(token_counts(table(spark, sf_dir, "documents")), max_len=2048, buckets=8, token_budget=65_536)
 
 
+def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every token sequence of ``documents`` in its slot of the training order, written to shards and read back."""
+    return write_tokens(table(spark, sf_dir, "documents"), length=256, key=2024, shard_bytes=16 << 20)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posterior quality of every document; source is the host and language the path below it."""
     docs = table(spark, sf_dir, "documents")
@@ -79,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op4_media": op4_media,
     "op7_packing": op7_packing,
+    "op8_token_output": op8_token_output,
     "op9_quality": op9_quality,
     "op10_line_dedup": op10_line_dedup,
 }
