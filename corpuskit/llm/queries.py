@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .decontam import find_leaks
+from .htmlcut import extract_main_text
 from .linededup import dedup_lines
 from .media import media_features, with_media
 from .packing import pack, token_counts
@@ -56,6 +57,11 @@ def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract_main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Optimal length buckets for token sequences of ``documents``, in batches of 65,536 tokens."""
     return pack(token_counts(table(spark, sf_dir, "documents")), max_len=2048, buckets=8, token_budget=65_536)
@@ -84,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontam": op2_decontam,
     "op3_url_filter": op3_url_filter,
     "op4_media": op4_media,
+    "op6_html_extraction": op6_html_extraction,
     "op7_packing": op7_packing,
     "op8_token_output": op8_token_output,
     "op9_quality": op9_quality,
