@@ -15,6 +15,7 @@ from .media import media_features, with_media
 from .packing import pack, token_counts
 from .quality import fit_classifier, labelled_sample, score
 from .simhash import fingerprint_hex, near_duplicates
+from .suffix import remove_repeats
 from .tokenout import write_tokens
 from .urlfilter import Rule, filter_urls, fit_urls, labelled_pages
 
@@ -57,6 +58,12 @@ def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the bytes under repeated 200-byte strings."""
+    kept = remove_repeats(table(spark, sf_dir, "documents"), min_len=200)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return extract_main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
@@ -90,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontam": op2_decontam,
     "op3_url_filter": op3_url_filter,
     "op4_media": op4_media,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_html_extraction": op6_html_extraction,
     "op7_packing": op7_packing,
     "op8_token_output": op8_token_output,
