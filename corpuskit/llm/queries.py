@@ -109,6 +109,19 @@ WHITE_SQL = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWER_SQL = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 ORACLE_SQL: dict[str, str] = {
+    "op5_suffix_dedup": """
+    WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+    w AS (SELECT doc_id, i, md5(b[i + 1:i + 200]) AS h FROM (SELECT doc_id, b, unnest(range(0, n - 199)) AS i FROM d WHERE n >= 200)),
+    r AS (SELECT doc_id, i FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+    e AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200 THEN 0 ELSE 1 END AS new FROM r),
+    g AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM e),
+    s AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS z FROM g GROUP BY doc_id, k),
+    p AS (SELECT doc_id, a, z, lag(z, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS last FROM s),
+    q AS (SELECT doc_id, sum(z - a) AS gone, count(*) AS spans, string_agg(hex(b[last + 1:a]), '' ORDER BY a) AS kept, max(z) AS tail FROM p JOIN d USING (doc_id) GROUP BY doc_id)
+    SELECT doc_id, n AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans,
+        sha256(unhex(coalesce(kept, '') || hex(b[coalesce(tail, 0) + 1:n]))) AS kept_sha256
+    FROM d LEFT JOIN q USING (doc_id)
+""",
     "op10_line_dedup": f"""
         WITH split AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
         lines AS (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS pos FROM split),
