@@ -19,16 +19,16 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks_by_bytes, durable, partitions_of, short_batches, text_bytes
+from .common import chunks_by_bytes, durable, partitions_of, release, short_batches, text_bytes
 
 #: Bytes of the grams whose least hash deals a window.
 GRAM = 64
 #: Bytes of segments in a shard, and different segments of a minimizer that one shard takes.
-SHARD, CROWD = 1_000_000, 1000
+SHARD, CROWD = 500_000, 1000
 #: How often crowded segments are dealt anew.
 LEVELS = 3
 #: Bytes of text that are cut at once; longer texts are cut in overlapping pieces.
@@ -39,27 +39,40 @@ PLACE = 24
 # ---------------------------------------------------------------- suffix arrays
 
 
-def refine(count: int, key_of: Callable[[np.ndarray, int], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+def refine(count: int, key_bits: int, key_of: Callable[[np.ndarray, int], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """Ranks (the number of smaller items) of items that are compared key by key.
 
-    ``key_of(items, k)`` gives the k-th keys and whether they are the items' last; items with equal keys throughout
-    share a rank. Only items that are still tied are looked at again.
+    ``key_of(items, k)`` gives the k-th keys, below ``2 ** key_bits``, and whether they are the items' last; items with equal keys
+    throughout share a rank. Only items that are still tied are looked at again. Rank and key fit one 63-bit number.
     """
     rank = np.zeros(count, np.int64)
-    items, k = np.arange(count), 0
+    key, last = key_of(np.arange(count), 0)
+    items = np.argsort(key)
+    key, last, k = key[items], last[items], 0
     while len(items):
-        key, last = key_of(items, k)
-        old = rank[items]
-        order = np.argsort(key) if k == 0 else np.lexsort((key, old))
-        items, key, old, last = items[order], key[order], old[order], last[order]
-        fresh = np.concatenate(([True], old[1:] != old[:-1]))
-        new = fresh | np.concatenate(([True], key[1:] != key[:-1]))
-        at = np.arange(len(items))
-        start, group = np.maximum.accumulate(np.where(new, at, 0)), np.maximum.accumulate(np.where(fresh, at, 0))
-        rank[items] = old + start - group
-        size = np.diff(np.append(np.flatnonzero(new), len(items)))
-        items = items[np.repeat(size > 1, size) & ~last]
+        # Here ``key`` holds the old rank in its high bits and is in order.
+        new = np.empty(len(items), bool)
+        new[0] = True
+        np.not_equal(key[1:], key[:-1], out=new[1:])
+        first = np.flatnonzero(new)
+        size = np.diff(first, append=len(items))
+        if k == 0:
+            rank[items] = np.repeat(first, size)
+        else:
+            old = key >> key_bits
+            group = np.flatnonzero(np.concatenate(([True], old[1:] != old[:-1])))
+            start = np.repeat(group, np.diff(group, append=len(items)))
+            rank[items] = old + np.repeat(first, size) - start
+        tied = np.repeat(size > 1, size)
+        tied &= ~last
+        items = items[tied]
+        if not len(items):
+            break
         k += 1
+        key, last = key_of(items, k)
+        key |= rank[items] << key_bits
+        order = np.argsort(key)
+        items, key, last = items[order], key[order], last[order]
     return rank
 
 
@@ -81,7 +94,8 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
     symbol = 2 * x + small + 1
     bits = int(symbol.max()).bit_length()
-    per = max(1, 63 // bits)
+    per = max(1, (63 - n.bit_length()) // bits)
+    key_bits = max(bits * per, n.bit_length())
     ahead = np.zeros(n + 1, np.int64)  # the next ``per`` symbols of every suffix, in one number
     for j in range(min(per, n + 1)):
         ahead[: n + 1 - j] |= symbol[j:] << (bits * (per - 1 - j))
@@ -97,7 +111,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
 
     # Leftmost-smaller substrings, both ends included, get names in their order; equal ones share a name.
     ends = np.append(lms[1:], n)
-    name = refine(len(lms), by_substring)
+    name = refine(len(lms), key_bits, by_substring)
     used = np.unique(name)
     if len(used) == len(lms):
         order = name
@@ -116,7 +130,7 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
             done = begin > end
             return np.where(done, ranks[end], packed(begin, end)), done
 
-        return refine(len(of), key_of)
+        return refine(len(of), key_bits, key_of)
 
     large = np.flatnonzero(~small)
     is_lms = np.zeros(n + 1, bool)
@@ -212,8 +226,6 @@ def cut(texts: list[bytes], min_len: int, seed: int) -> tuple[np.ndarray, np.nda
             h ^= h >> np.uint64(29)
         h *= np.uint64(0x94D049BB133111EB)
         h ^= h >> np.uint64(32)
-    if gram < 8:
-        raise ValueError("min_len must be 8 or more")
     # The place in the low bits breaks ties alike in all equal windows: the last of equal grams wins.
     low = np.uint64((1 << PLACE) - 1)
     least = (h & ~low) | (low - np.arange(n, dtype=np.uint64))
@@ -318,10 +330,14 @@ def repeated_runs(texts: DataFrame, min_len: int, level: int = 0) -> DataFrame:
     with the same ``k`` must have the same text.
     """
     rows = segments_of(texts, min_len, level)
-    distinct = rows.groupBy("hv", "ch").agg(F.sum("weight").alias("weight"), F.first("k").alias("k"), F.first("off").alias("off"), F.first("windows").alias("windows"))
+    place = F.shiftleft("off", 16).bitwiseOR(F.col("windows"))  # one number in the shuffles; min_len is below 65,536
+    distinct = rows.withColumn("at", place).groupBy("hv", "ch").agg(F.sum("weight").alias("weight"), F.first("k").alias("k"), F.first("at").alias("at"))
     # Each minimizer's weight and number of different segments; a minimizer of weight 1 has no repeated window.
-    of = distinct.groupBy("hv").agg(F.sum("weight").alias("total"), F.count("*").alias("kinds")).where("total >= 2").withColumnRenamed("hv", "__hv")
-    wanted = durable(distinct.join(of, F.col("hv") == F.col("__hv")).select("hv", "ch", "weight", "k", "off", "windows", "kinds"))
+    same = Window.partitionBy("hv")
+    counted = distinct.withColumns({"total": F.sum("weight").over(same), "kinds": F.count("*").over(same)})
+    unpacked = {"off": F.shiftright("at", 16), "windows": F.col("at").bitwiseAND(F.lit(0xFFFF).cast("bigint"))}
+    wanted = durable(counted.where("total >= 2").withColumns(unpacked).drop("total", "at"))
+    release(texts.sparkSession)
     crowded = F.col("kinds") > CROWD
     usual = wanted.where(~crowded) if level + 1 < LEVELS else wanted
     runs = shard_runs(contents_of(texts, usual, min_len), min_len)
@@ -333,6 +349,7 @@ def repeated_runs(texts: DataFrame, min_len: int, level: int = 0) -> DataFrame:
         named = shifted.join(again.select("hv", "ch"), "ch").groupBy("hv", "ch").agg(F.flatten(F.collect_list("runs")).alias("runs"))
         runs = runs.unionByName(named)
     runs = durable(runs)
+    release(texts.sparkSession)
     mine = rows.select("hv", "ch", "k", "off")
     return mine.join(runs, ["hv", "ch"]).select("k", "off", "runs")
 
@@ -366,6 +383,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text; null and other ids are told apart by their text too. ``spans`` lists removed byte ranges ``[begin, end)``.
     An empty table gives none; other columns are not read.
     """
+    if not 8 <= min_len < 1 << 16:
+        raise ValueError("min_len must be from 8 to 65,535")
     short_batches(docs.sparkSession)
     text = text_bytes(text_col)
     whole = isinstance(docs.schema[id_col].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
