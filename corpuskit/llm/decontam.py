@@ -13,12 +13,13 @@ split; further grouping is by document.
 
 from __future__ import annotations
 
-import hashlib
+import itertools
 from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,57 +38,84 @@ STRIP = ".,;:!?\"'()[]{}<>*&#%$|“”‘’«»„…"
 BITMAP_BITS = 24
 #: Words kept in a worker's cache of word codes before it starts afresh.
 CACHE = 400_000
-BLOCK = 4_000_000
+BLOCK = 1_000_000
 
 
-def code_of(text: str) -> int:
+def code_of(form: str) -> int:
     """62 bits of a word form."""
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") >> 2
+    return xxhash.xxh3_64_intdigest(form.encode("utf-8", "surrogatepass")) >> 2
 
 
 KIND_CODE = {NUMBER: code_of("\0number"), UNIT: code_of("\0unit"), NAME: code_of("\0name")}
+#: Flags of a word without its context, above the two bits of its kind.
+TITLE, ENDS = 4, 8
 
 
-def word_kind(word: str) -> tuple[int, str, bool, bool]:
-    """``(kind, normal form, may be a name, ends a sentence)`` of a word without its context."""
+def normal_form(word: str) -> str:
+    """A word without marks at its ends, in lower case; a word of marks alone stays."""
+    return (word.strip(STRIP) or word).lower()
+
+
+def word_flags(word: str) -> int:
+    """Kind (a unit is one only behind a number) and whether the word is capitalised or ends a sentence."""
+    if word.isalpha() and word.islower():
+        return UNIT if word in UNITS_SET else LITERAL
     bare = word.strip(STRIP)
-    ends = word.rstrip("\"'”’»)]")[-1:] in (".", "!", "?")
-    low = (bare or word).lower()
+    ends = ENDS if word.rstrip("\"'”’»)]")[-1:] in (".", "!", "?") else 0
     digits = bare.lstrip("+-$€£").rstrip("%")
     if digits[:1].isdigit() and all(ch.isdigit() or ch in ".,/:-" for ch in digits):
-        return NUMBER, low, False, ends
-    if low in UNITS_SET:
-        return UNIT, low, False, ends
-    return LITERAL, low, len(bare) > 1 and bare[0].isupper() and bare[1:].islower(), ends
+        return NUMBER | ends
+    if (bare or word).lower() in UNITS_SET:
+        return UNIT | ends
+    return LITERAL | ends | (TITLE if len(bare) > 1 and bare[0].isupper() and bare[1:].islower() else 0)
 
 
 UNITS_SET = frozenset(UNITS)
 
 
 class Coder(dict):
-    """Codes of words: 62 bits of the template form, and in a second array kind and flags. Bounded in size."""
-
-    def __missing__(self, word: str) -> tuple[int, int]:
-        kind, low, name, ends = word_kind(word)
-        found = (KIND_CODE.get(kind) or code_of(low), kind | name << 2 | ends << 3)
-        if len(self) >= CACHE:
+    """Words as row numbers of two arrays: 62-bit codes of their normal forms, and flags. Bounded in size."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.codes, self.flags = np.zeros(1024, np.uint64), np.zeros(1024, np.int8)
+
+    def __missing__(self, word: str) -> int:
+        k = len(self)
+        if k == len(self.codes):
+            self.codes, self.flags = np.concatenate((self.codes, self.codes)), np.concatenate((self.flags, self.flags))
+        self.codes[k], self.flags[k] = code_of(normal_form(word)), word_flags(word)
+        self[word] = k
+        return k
+
+    def look_up(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Codes and flags of words."""
+        if len(self) > CACHE:
             self.clear()
-        self[word] = found
-        return found
+        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return self.codes[at], self.flags[at]
 
 
-def template(words: list[str], coder: Coder) -> tuple[np.ndarray, np.ndarray]:
-    """Template codes and kinds of the words of a text. A capitalised word inside a sentence is a name."""
-    pairs = np.array([coder[w] for w in words], np.uint64).reshape(-1, 2)
-    code, flags = pairs[:, 0].copy(), pairs[:, 1].astype(np.int64)
-    after_end = np.concatenate(([True], (flags[:-1] & 8) > 0))
-    name = ((flags & 4) > 0) & ~after_end
-    code[name] = KIND_CODE[NAME]
-    return code, np.where(name, NAME, flags & 3)
+def template(words: list[str], counts: np.ndarray, coder: Coder) -> tuple[np.ndarray, np.ndarray]:
+    """Template codes and kinds of the words of several texts, one after the other.
 
-
-def windows(code: np.ndarray, kind: np.ndarray, width: int, literals: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and hashes of the windows with at least ``literals`` literal words."""
+    A capitalised word inside a sentence is a name, and a unit is one only right behind a number.
+    """
+    code, flags = coder.look_up(words)
+    kind = (flags & 3).astype(np.int64)
+    first = np.zeros(len(words), bool)
+    first[(np.cumsum(counts) - counts)[counts > 0]] = True
+    before_ends, before_number = np.ones(len(words), bool), np.zeros(len(words), bool)
+    before_ends[1:], before_number[1:] = (flags[:-1] & ENDS) > 0, kind[:-1] == NUMBER
+    kind[(kind == UNIT) & (first | ~before_number)] = LITERAL
+    kind[((flags & TITLE) > 0) & ~first & ~before_ends] = NAME
+    for k, value in KIND_CODE.items():
+        code[kind == k] = value
+    return code, kind
+
+
+def windows(code: np.ndarray, kind: np.ndarray, counts: np.ndarray, width: int, literals: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes of the windows inside one text with at least ``literals`` literal words."""
     n = len(code) - width + 1
     if n <= 0:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
@@ -96,7 +124,8 @@ def windows(code: np.ndarray, kind: np.ndarray, width: int, literals: int) -> tu
         h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
         h ^= h >> np.uint64(29)
     said = np.concatenate(([0], np.cumsum(kind == LITERAL)))
-    at = np.flatnonzero(said[width:] - said[:-width] >= literals)
+    owner = np.repeat(np.arange(len(counts)), counts)
+    at = np.flatnonzero((said[width:] - said[:-width] >= literals) & (owner[:n] == owner[width - 1 :]))
     return at, h[at]
 
 
@@ -112,28 +141,21 @@ def template_windows(rows: DataFrame, width: int, literals: int, bitmap: np.ndar
     def block(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder()
         for part in chunks_by_bytes(batches, "text", BLOCK):
-            out: tuple[list, ...] = ([], [], [], [], [])
-            for i, data in enumerate(part.column("text").to_pylist()):
-                words = data.decode("utf-8", "replace").split()
-                if len(words) < width:
-                    continue
-                code, kind = template(words, coder)
-                at, h = windows(code, kind, width, literals)
-                if known is not None:
-                    cell = (h >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
-                    hit = (known.value[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1
-                    at, h = at[hit > 0], h[hit > 0]
-                if len(at):
-                    out[0].extend([i] * len(at))
-                    out[1].append(h.view(np.int64))
-                    out[2].append(at)
-                    out[3].extend([len(words)] * len(at))
-                    out[4].extend([[f"{kind[k]}:{word_kind(words[k])[1]}" for k in range(p, p + width) if kind[k] != LITERAL] for p in at.tolist()])
-            if out[0]:
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("key").take(pa.array(out[0])), pa.array(np.concatenate(out[1])), pa.array(np.concatenate(out[2]).astype(np.int64)), pa.array(out[3], pa.int64()), pa.array(out[4], pa.list_(pa.string()))],
-                    ["key", "hash", "pos", "n_words", "slots"],
-                )
+            lists = [data.decode("utf-8", "replace").split() for data in part.column("text").to_pylist()]
+            counts = np.array([len(x) for x in lists], np.int64)
+            words = list(itertools.chain.from_iterable(lists))
+            code, kind = template(words, counts, coder)
+            at, h = windows(code, kind, counts, width, literals)
+            if known is not None:
+                cell = (h >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+                hit = (known.value[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1
+                at, h = at[hit > 0], h[hit > 0]
+            if len(at):
+                first = np.cumsum(counts) - counts
+                owner = np.repeat(np.arange(len(counts)), counts)[at]
+                slots = [[f"{kind[k]}:{normal_form(words[k])}" for k in range(p, p + width) if kind[k] != LITERAL] for p in at.tolist()]
+                columns = [part.column("key").take(pa.array(owner)), *(pa.array(x) for x in (h.view(np.int64), at - first[owner], counts[owner])), pa.array(slots, pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "hash", "pos", "n_words", "slots"])
 
     shape = f"key {kind_of_key.simpleString()}, hash bigint, pos bigint, n_words bigint, slots array<string>"
     return rows.select("key", "text").mapInArrow(block, shape)
@@ -163,7 +185,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     bitmap = window_bitmap(held)
     own = template_windows(docs.select(F.col(id_col).alias("key"), text_bytes(text_col).alias("text")), width, literals, bitmap)
     met = own.join(held, "hash").where(F.size("slots") == F.size("item_slots"))
-    met = met.select("key", "item_id", "item_words", "item_pos", (F.col("pos") - F.col("item_pos")).alias("diagonal"), F.arrays_zip("item_slots", "slots").alias("pairs"))
+    # The matches are read twice below; written out, the documents are not scanned twice for them.
+    met = durable(met.select("key", "item_id", "item_words", "item_pos", (F.col("pos") - F.col("item_pos")).alias("diagonal"), F.arrays_zip("item_slots", "slots").alias("pairs")))
     # A slot value that meets two document values, or one of another kind, spoils its diagonal.
     slots = met.select("key", "item_id", "diagonal", F.explode("pairs").alias("pair")).select("key", "item_id", "diagonal", F.col("pair.item_slots").alias("said"), F.col("pair.slots").alias("heard")).distinct()
     by_value = slots.groupBy("key", "item_id", "diagonal", "said").agg(F.count("*").alias("n"), F.max(F.col("said") != F.col("heard")).alias("other"))
