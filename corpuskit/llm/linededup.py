@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import durable
+
 #: ASCII white space that is stripped from both ends of a line.
 WHITE = " \t\n\x0b\f\r"
 
@@ -51,7 +53,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .select("__id", "__t1", "__t2", "__pos", *key_hashes(F.col("__key")))
     )
     held = lines.where(F.col("__id").isNotNull()).select("__h1", "__h2", "__id").distinct()
-    common = held.groupBy("__h1", "__h2").agg(F.count("*").alias("__n"), F.max("__id").alias("__last")).where(F.col("__n") >= min_docs)
+    # Written out, the common lines are dealt anew for the join, where a hot one's rows can be split among tasks.
+    common = durable(held.groupBy("__h1", "__h2").agg(F.count("*").alias("__n"), F.max("__id").alias("__last")).where(F.col("__n") >= min_docs).select("__h1", "__h2", "__last"))
     lost = (
         lines.join(common, ["__h1", "__h2"])
         .where(~F.col("__id").eqNullSafe(F.col("__last")))
