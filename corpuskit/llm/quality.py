@@ -215,16 +215,15 @@ def score(docs: DataFrame, model: Classifier, host_col: str = "source", path_col
         groups = paths.join(hosts.withColumnRenamed("__h", "__g"), F.col("__h").eqNullSafe(F.col("__g"))).drop("__g")
         m_path = strength(groups, "n", "k", F.col("host_rate"))
         groups = groups.withColumn("path_rate", (F.col("k") + m_path * F.col("host_rate")) / (F.col("n") + m_path))
+        groups = groups.withColumnsRenamed({c: f"__{c}" for c in ("n", "k", "hn", "hk")})  # the documents may have such columns
         if size <= BROADCAST_GROUPS:  # at most that many rows of two names and six numbers
             rows = groups.collect()
             groups = F.broadcast(spark.createDataFrame(rows, groups.schema))
-        else:
-            groups = groups.drop()
     finally:
         paths.unpersist()
     # The document's own evidence leaves its groups before it is added.
-    host = (F.col("hk") - p + m_host * rate) / (F.col("hn") - 1 + m_host)
-    path = (F.col("k") - p + m_path * host) / (F.col("n") - 1 + m_path)
+    host = (F.col("__hk") - p + m_host * rate) / (F.col("__hn") - 1 + m_host)
+    path = (F.col("__k") - p + m_path * host) / (F.col("__n") - 1 + m_path)
     joined = scored.join(groups, F.col(host_col).eqNullSafe(F.col("__h")) & F.col(path_col).eqNullSafe(F.col("__p")), "left")
     total = F.col("evidence") + log_odds(path) - math.log(rate / (1 - rate))
     return joined.withColumn("quality_score", probability(total)).withColumn("keep", F.col("quality_score") >= keep_from).select(*base.columns, *made)
