@@ -288,7 +288,9 @@ def links(distinct: DataFrame, distance: int = 3) -> DataFrame:
                         rows.append((np.full(len(who) * len(other), i), (v[who][:, None] ^ other[None, :]).ravel(), np.repeat(fp[who], len(other)), np.full(len(who) * len(other), PROBE)))
             part, v, f, role = (np.concatenate(x) for x in zip(*rows, strict=True))
             size = held[part, v]
-            alive = (size > 1) | ((role == PROBE) & (size > 0))  # a bucket of one row holds no pair
+            # A lone index row still meets probes from buckets nearby, unless its whole ball holds nothing else.
+            ball = np.stack([near[i][most] for i in range(PARTS)])[part, v]
+            alive = (size > 0) & ((role == PROBE) | (ball > 1))
             yield from keyed(part[alive], v[alive], f[alive], role[alive], size[alive])
 
     def keyed(part: np.ndarray, v: np.ndarray, f: np.ndarray, role: np.ndarray, size: np.ndarray) -> Iterator[pa.RecordBatch]:

@@ -81,6 +81,24 @@ def test_links_equal_brute_force(spark, monkeypatch, cap, refine):
     assert sorted(map(sorted, groups.values())) == sorted(sorted(g) for g in want.values() if len(g) > 1)
 
 
+def test_links_beside_a_hot_bucket(spark):
+    """One partition value is shared by all, so thresholds move to partitions whose buckets hold one row."""
+    rnd = random.Random(7)
+    values = []
+    for _ in range(600):
+        v = sum(rnd.getrandbits(16) << 16 * i for i in range(1, 4))
+        w = v
+        for part in rnd.sample(range(1, 4), rnd.randrange(2, 4)):
+            w ^= 1 << 16 * part + rnd.randrange(16)
+        values += [v, w]
+    values = np.array(sorted(set(values)), np.uint64)
+    got = connected_components(simhash.links(spark.createDataFrame([(x,) for x in values.view(np.int64).tolist()], "fp bigint")))
+    of = {r.node & (1 << 64) - 1: r.component for r in got.collect()}
+    a, b = np.nonzero(np.triu(np.bitwise_count(values[:, None] ^ values[None, :]) <= 3, 1))
+    assert len(a) >= 590
+    assert all(values[i] in of and of[values[i]] == of.get(values[j]) for i, j in zip(a.tolist(), b.tolist()))
+
+
 def test_thresholds_sum_up():
     costs = [np.random.default_rng(i).random((5, 50)) for i in range(4)]
     t = simhash.allot(costs, 0)
