@@ -1,10 +1,11 @@
 """Benchmark decontamination by template canonicalisation.
 
-Words become literals or typed placeholders (number, unit, name). Windows of five template words of every document
-pass a bitmap of all benchmark windows, built over the whole benchmark at a fixed size, and the survivors are
-hash-joined with the benchmark's windows. Windows of a document and an item that lie on one diagonal must fill the
-item's slots consistently: the same item value always meets the same document value. A document leaks an item if
-consistent windows cover enough of it, with the item's own values (``exact``) or with others (``reparameterised``).
+Words become literals or typed placeholders (number, unit, name). Windows of five words of every document, as they
+are and as templates, pass a bitmap of all benchmark windows, built over the whole benchmark at a fixed size, and the
+survivors are hash-joined with the benchmark's windows. A shorter item is one window. Windows of the words themselves
+match whatever the words are; template windows need some literals. Template windows of a document and an item that
+lie on one diagonal must fill the item's slots consistently: the same item value always meets the same document value. A document leaks an item if matching windows cover
+enough of it, with the item's own values (``exact``) or with others (``reparameterised``).
 
 The bitmap passes windows that match and a small share of others, so the shuffle holds matches, not texts. A
 passage that a third of all documents hold meets few benchmark rows in an equi-join that adaptive execution can
@@ -14,7 +15,7 @@ split; further grouping is by document.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterable, Iterator
+from collections.abc import Collection, Iterable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -33,6 +34,8 @@ hour hours day days week weeks month months year years % percent $ € £ dollar
 v kv a j kj cal kcal k c f degree degrees acre acres hectare hectares
 """.split()
 LITERAL, NUMBER, UNIT, NAME = range(4)
+#: Windows of words and of template words have hashes of their own.
+OWN, TEMPLATE = 0x5851F42D4C957F2D, 0
 STRIP = ".,;:!?\"'()[]{}<>*&#%$|“”‘’«»„…"
 #: Bits of the bitmap; its size (2 MB) does not depend on the benchmark.
 BITMAP_BITS = 24
@@ -96,12 +99,13 @@ class Coder(dict):
         return self.codes[at], self.flags[at]
 
 
-def template(words: list[str], counts: np.ndarray, coder: Coder) -> tuple[np.ndarray, np.ndarray]:
-    """Template codes and kinds of the words of several texts, one after the other.
+def template(words: list[str], counts: np.ndarray, coder: Coder) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Own codes, template codes and kinds of the words of several texts, one after the other.
 
     A capitalised word inside a sentence is a name, and a unit is one only right behind a number.
     """
-    code, flags = coder.look_up(words)
+    said, flags = coder.look_up(words)
+    code = said.copy()
     kind = (flags & 3).astype(np.int64)
     first = np.zeros(len(words), bool)
     first[(np.cumsum(counts) - counts)[counts > 0]] = True
@@ -111,7 +115,7 @@ def template(words: list[str], counts: np.ndarray, coder: Coder) -> tuple[np.nda
     kind[((flags & TITLE) > 0) & ~first & ~before_ends] = NAME
     for k, value in KIND_CODE.items():
         code[kind == k] = value
-    return code, kind
+    return said, code, kind
 
 
 def windows(code: np.ndarray, kind: np.ndarray, counts: np.ndarray, width: int, literals: int) -> tuple[np.ndarray, np.ndarray]:
@@ -129,14 +133,18 @@ def windows(code: np.ndarray, kind: np.ndarray, counts: np.ndarray, width: int,
     return at, h[at]
 
 
-def template_windows(rows: DataFrame, width: int, literals: int, bitmap: np.ndarray | None = None) -> DataFrame:
-    """``(key, hash, pos, n_words, slots)`` per window of each row (``key``, ``text``), slots as ``kind:value``.
+def text_windows(rows: DataFrame, width: int, literals: int, short: Collection[int] = (), bitmap: np.ndarray | None = None, whole: bool = False) -> DataFrame:
+    """``(key, hash, pos, size, n_words, places, slots)`` per window of each row (``key``, ``text``).
 
-    With a bitmap, only windows whose hash it holds are returned.
+    A window of the words themselves has no slots. One of template words has ``literals`` literal words at least, its
+    other words as ``kind:value`` in ``slots`` and their positions in ``places``. Besides ``width`` words, windows have
+    the sizes in ``short``, or with ``whole`` just one window holds all words of a text of fewer than ``width``. With a
+    bitmap, only windows whose hash it holds are returned.
     """
     short_batches(rows.sparkSession)
     known = None if bitmap is None else rows.sparkSession.sparkContext.broadcast(bitmap)
     kind_of_key = rows.schema["key"].dataType
+    sizes = [width, *(range(1, width) if whole else sorted(short))]
 
     def block(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder()
@@ -144,20 +152,32 @@ def template_windows(rows: DataFrame, width: int, literals: int, bitmap: np.ndar
             lists = [data.decode("utf-8", "replace").split() for data in part.column("text").to_pylist()]
             counts = np.array([len(x) for x in lists], np.int64)
             words = list(itertools.chain.from_iterable(lists))
-            code, kind = template(words, counts, coder)
-            at, h = windows(code, kind, counts, width, literals)
-            if known is not None:
-                cell = (h >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
-                hit = (known.value[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1
-                at, h = at[hit > 0], h[hit > 0]
-            if len(at):
-                first = np.cumsum(counts) - counts
-                owner = np.repeat(np.arange(len(counts)), counts)[at]
-                slots = [[f"{kind[k]}:{normal_form(words[k])}" for k in range(p, p + width) if kind[k] != LITERAL] for p in at.tolist()]
-                columns = [part.column("key").take(pa.array(owner)), *(pa.array(x) for x in (h.view(np.int64), at - first[owner], counts[owner])), pa.array(slots, pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "hash", "pos", "n_words", "slots"])
-
-    shape = f"key {kind_of_key.simpleString()}, hash bigint, pos bigint, n_words bigint, slots array<string>"
+            said, code, kind = template(words, counts, coder)
+            first, owners = np.cumsum(counts) - counts, np.repeat(np.arange(len(counts)), counts)
+            for size in sizes:
+                for form in (OWN, TEMPLATE):
+                    at, h = windows(said if form == OWN else code, kind, counts, size, 0 if form == OWN else literals)
+                    h ^= np.uint64(form)
+                    if whole and size < width:
+                        all_ = counts[owners[at]] == size
+                        at, h = at[all_], h[all_]
+                    if known is not None:
+                        cell = (h >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+                        hit = (known.value[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1
+                        at, h = at[hit > 0], h[hit > 0]
+                    if not len(at):
+                        continue
+                    owner = owners[at]
+                    places = [[k for k in range(p, p + size) if form == TEMPLATE and kind[k] != LITERAL] for p in at.tolist()]
+                    slots = [[f"{kind[k]}:{normal_form(words[k])}" for k in x] for x in places]
+                    places = [[k - f for k in x] for x, f in zip(places, first[owner].tolist(), strict=True)]
+                    columns = [
+                        part.column("key").take(pa.array(owner)), pa.array(h.view(np.int64)), pa.array(at - first[owner]), pa.array(np.full(len(at), size, np.int64)),
+                        pa.array(counts[owner]), pa.array(places, pa.list_(pa.int64())), pa.array(slots, pa.list_(pa.string())),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, ["key", "hash", "pos", "size", "n_words", "places", "slots"])
+
+    shape = f"key {kind_of_key.simpleString()}, hash bigint, pos bigint, size bigint, n_words bigint, places array<bigint>, slots array<string>"
     return rows.select("key", "text").mapInArrow(block, shape)
 
 
@@ -175,26 +195,31 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     """One row per document and benchmark item that it leaks.
 
     Columns: the id, ``item_id``, ``n_words`` (of the item), ``n_covered``, ``coverage`` and ``kind`` (``exact`` or
-    ``reparameterised``). ``coverage`` is the share of the item's words inside consistent matching windows; items
-    of fewer than ``width`` words have no window and are never found. Null texts are empty; rows with the same id
+    ``reparameterised``). ``coverage`` is the share of the item's words inside matching windows; an item of fewer than
+    ``width`` words is one window. Null texts are empty; rows with the same id
     are one document; a null id is one document too. Repeated benchmark rows count once. Empty tables give none.
     """
     items = benchmark.select(F.col("item_id").alias("key"), text_bytes("text").alias("text")).dropDuplicates()
-    held = template_windows(items, width, literals).select("hash", F.col("key").alias("item_id"), F.col("pos").alias("item_pos"), F.col("n_words").alias("item_words"), F.col("slots").alias("item_slots"))
-    held = durable(held)
+    held = text_windows(items, width, literals, whole=True)
+    held = durable(held.select("hash", "size", F.col("key").alias("item_id"), F.col("pos").alias("item_pos"), F.col("n_words").alias("item_words"), "places", F.col("slots").alias("item_slots")))
     bitmap = window_bitmap(held)
-    own = template_windows(docs.select(F.col(id_col).alias("key"), text_bytes(text_col).alias("text")), width, literals, bitmap)
-    met = own.join(held, "hash").where(F.size("slots") == F.size("item_slots"))
+    short = [r["size"] for r in held.where(F.col("size") < width).select("size").distinct().collect()]
+    own = text_windows(docs.select(F.col(id_col).alias("key"), text_bytes(text_col).alias("text")), width, literals, short, bitmap).drop("places")
+    met = own.join(held, ["hash", "size"]).where(F.size("slots") == F.size("item_slots"))
     # The matches are read twice below; written out, the documents are not scanned twice for them.
-    met = durable(met.select("key", "item_id", "item_words", "item_pos", (F.col("pos") - F.col("item_pos")).alias("diagonal"), F.arrays_zip("item_slots", "slots").alias("pairs")))
-    # A slot value that meets two document values, or one of another kind, spoils its diagonal.
-    slots = met.select("key", "item_id", "diagonal", F.explode("pairs").alias("pair")).select("key", "item_id", "diagonal", F.col("pair.item_slots").alias("said"), F.col("pair.slots").alias("heard")).distinct()
-    by_value = slots.groupBy("key", "item_id", "diagonal", "said").agg(F.count("*").alias("n"), F.max(F.col("said") != F.col("heard")).alias("other"))
-    by_line = by_value.groupBy("key", "item_id", "diagonal").agg(F.max("n").alias("n"), F.max("other").alias("other"))
-    by_line = by_line.select(F.col("key").alias("__k"), F.col("item_id").alias("__i"), F.col("diagonal").alias("__d"), "n", "other")
+    met = durable(met.select(
+        "key", "item_id", "item_words", "item_pos", "size", (F.col("pos") - F.col("item_pos")).alias("diagonal"),
+        F.arrays_zip("places", F.col("item_slots").alias("said"), F.col("slots").alias("heard")).alias("pairs"),
+    ))
+    # A slot value that meets two document values, or one of another kind, spoils its diagonal for template windows.
+    slots = met.select("key", "item_id", "diagonal", F.explode("pairs").alias("pair")).select("key", "item_id", "diagonal", "pair.said", "pair.heard").distinct()
+    by_value = slots.groupBy("key", "item_id", "diagonal", "said").agg(F.count("*").alias("n"))
+    by_line = by_value.groupBy("key", "item_id", "diagonal").agg(F.max("n").alias("n"))
+    by_line = by_line.select(F.col("key").alias("__k"), F.col("item_id").alias("__i"), F.col("diagonal").alias("__d"), "n")
     line = F.col("key").eqNullSafe(F.col("__k")) & F.col("item_id").eqNullSafe(F.col("__i")) & (F.col("diagonal") == F.col("__d"))
-    lines = met.join(by_line, line, "left").where(F.coalesce("n", F.lit(1)) == 1)
-    covered = lines.select("key", "item_id", "item_words", F.coalesce("other", F.lit(False)).alias("other"), F.explode(F.sequence(F.col("item_pos"), F.col("item_pos") + (width - 1))).alias("word"))
+    lines = met.join(by_line, line, "left").where((F.size("pairs") == 0) | (F.coalesce("n", F.lit(1)) == 1))
+    other = F.exists("pairs", lambda p: p["said"] != p["heard"])
+    covered = lines.select("key", "item_id", "item_words", other.alias("other"), F.explode(F.sequence(F.col("item_pos"), F.col("item_pos") + F.col("size") - 1)).alias("word"))
     covered = covered.groupBy("key", "item_id", "item_words", "word").agg(F.min("other").alias("other"))
     found = covered.groupBy("key", "item_id", "item_words").agg(F.count("*").alias("n_covered"), F.max("other").alias("other"))
     share = F.col("n_covered") / F.col("item_words")

@@ -136,6 +136,14 @@ def test_reparameterised_question(spark):
 # ---------------------------------------------------------------- URLs
 
 
+def test_items_dense_in_slots(spark):
+    """Numbers, units and names match word for word, however few literals there are, and short items are one window."""
+    items = [(1, "What is 15 % of 240 ?"), (2, "3 14 15 92 65 35 89"), (3, "the poets Keats Byron Shelley Blake Clare Burns"), (4, "capital of France"), (5, "add 3 to seven")]
+    d = docs(spark, [(i, f"some words before {t} and some behind") for i, t in items] + [(6, "3 14 15 92 66 35 88 and capital of Spain"), (7, "add 4 to seven"), (8, "they say capital of france.")])
+    got = {(r.doc_id, r.item_id): r.kind for r in decontam.find_leaks(d, spark.createDataFrame(items, "item_id bigint, text string")).collect()}
+    assert got == {(i, i): "exact" for i, _ in items} | {(7, 5): "reparameterised", (8, 4): "exact"}
+
+
 def test_url_rules_and_parts(spark):
     rules = [urlfilter.Rule("allow", "com", "/"), urlfilter.Rule("block", "example.com", "/en/"), urlfilter.Rule("allow", "www.example.com", "/en/")]
     urls = ["HTTP://WWW.Example.com/en/1?x#y", "http://a.example.com/en/", "http://notexample.com/en/x", "http://x.com", "no scheme/", None, "", "http://é.com/É?q", "a://b://c/d"]
