@@ -4,7 +4,8 @@ Words become literals or typed placeholders (number, unit, name). Windows of fiv
 are and as templates, pass a bitmap of all benchmark windows, built over the whole benchmark at a fixed size, and the
 survivors are hash-joined with the benchmark's windows. A shorter item is one window. Windows of the words themselves
 match whatever the words are; template windows need some literals. Template windows of a document and an item that
-lie on one diagonal must fill the item's slots consistently: the same item value always meets the same document value. A document leaks an item if matching windows cover
+lie on one diagonal must fill the item's slots consistently: a document value that does not have the majority of the
+places of an item value spoils the template windows that hold it. A document leaks an item if matching windows cover
 enough of it, with the item's own values (``exact``) or with others (``reparameterised``).
 
 The bitmap passes windows that match and a small share of others, so the shuffle holds matches, not texts. A
@@ -211,13 +212,16 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         "key", "item_id", "item_words", "item_pos", "size", (F.col("pos") - F.col("item_pos")).alias("diagonal"),
         F.arrays_zip("places", F.col("item_slots").alias("said"), F.col("slots").alias("heard")).alias("pairs"),
     ))
-    # A slot value that meets two document values, or one of another kind, spoils its diagonal for template windows.
-    slots = met.select("key", "item_id", "diagonal", F.explode("pairs").alias("pair")).select("key", "item_id", "diagonal", "pair.said", "pair.heard").distinct()
-    by_value = slots.groupBy("key", "item_id", "diagonal", "said").agg(F.count("*").alias("n"))
-    by_line = by_value.groupBy("key", "item_id", "diagonal").agg(F.max("n").alias("n"))
-    by_line = by_line.select(F.col("key").alias("__k"), F.col("item_id").alias("__i"), F.col("diagonal").alias("__d"), "n")
-    line = F.col("key").eqNullSafe(F.col("__k")) & F.col("item_id").eqNullSafe(F.col("__i")) & (F.col("diagonal") == F.col("__d"))
-    lines = met.join(by_line, line, "left").where((F.size("pairs") == 0) | (F.coalesce("n", F.lit(1)) == 1))
+    # What an item value meets in most of its places on a diagonal stands; other values spoil the windows that hold them.
+    line = ["key", "item_id", "diagonal"]
+    places = met.select(*line, F.explode("pairs").alias("pair")).select(*line, "pair.places", "pair.said", "pair.heard").distinct()
+    heard = places.groupBy(*line, "said", "heard").agg(F.count("*").alias("n"))
+    split = heard.groupBy(*line, "said").agg(F.sum("n").alias("all"), F.max_by("heard", "n").alias("most"), F.max("n").alias("top"), F.count("*").alias("values")).where("values > 1")
+    split = split.groupBy(*line).agg(F.map_from_entries(F.collect_list(F.struct("said", F.when(F.col("top") * 2 > F.col("all"), F.col("most")).otherwise("").alias("most")))).alias("bound"))
+    split = split.select(F.col("key").alias("__k"), F.col("item_id").alias("__i"), F.col("diagonal").alias("__d"), "bound")
+    same = F.col("key").eqNullSafe(F.col("__k")) & F.col("item_id").eqNullSafe(F.col("__i")) & (F.col("diagonal") == F.col("__d"))
+    sound = F.forall("pairs", lambda p: F.coalesce(F.element_at("bound", p["said"]), p["heard"]) == p["heard"])
+    lines = met.join(split, same, "left").where(F.col("bound").isNull() | sound)
     other = F.exists("pairs", lambda p: p["said"] != p["heard"])
     covered = lines.select("key", "item_id", "item_words", other.alias("other"), F.explode(F.sequence(F.col("item_pos"), F.col("item_pos") + F.col("size") - 1)).alias("word"))
     covered = covered.groupBy("key", "item_id", "item_words", "word").agg(F.min("other").alias("other"))

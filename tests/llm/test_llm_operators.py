@@ -144,6 +144,17 @@ def test_items_dense_in_slots(spark):
     assert got == {(i, i): "exact" for i, _ in items} | {(7, 5): "reparameterised", (8, 4): "exact"}
 
 
+def test_one_edited_value_of_several(spark):
+    """An edited number spoils the windows around it, as an edited word does, and not its whole diagonal."""
+    item = " ".join(f"word{k}" for k in range(8)) + " 12 " + " ".join(f"term{k}" for k in range(10)) + " 12 " + " ".join(f"last{k}" for k in range(10)) + " 12 and so on to its very end"
+    assert len(item.split()) == 38
+    edited = item[::-1].replace("21", "31", 1)[::-1]
+    moved = item.replace("12", "40", 2).replace("12", "41")
+    d = docs(spark, [(1, edited), (2, item.replace("12", "40")), (3, moved)])
+    got = {r.doc_id: (r.n_covered, r.kind) for r in decontam.find_leaks(d, spark.createDataFrame([(1, item)], "item_id bigint, text string")).collect()}
+    assert got == {1: (37, "exact"), 2: (38, "reparameterised"), 3: (37, "reparameterised")}
+
+
 def test_url_rules_and_parts(spark):
     rules = [urlfilter.Rule("allow", "com", "/"), urlfilter.Rule("block", "example.com", "/en/"), urlfilter.Rule("allow", "www.example.com", "/en/")]
     urls = ["HTTP://WWW.Example.com/en/1?x#y", "http://a.example.com/en/", "http://notexample.com/en/x", "http://x.com", "no scheme/", None, "", "http://é.com/É?q", "a://b://c/d"]
