@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuskit.llm.common import shared_dir, table
+from corpuskit.llm.common import durable, shared_dir, table
 from corpuskit.llm.decontam import drop_leaks
 from corpuskit.llm.linededup import dedup_lines
 from corpuskit.llm.packing import pack, token_counts
 from corpuskit.llm.quality import fit_classifier, labelled_sample, score
-from corpuskit.llm.simhash import near_duplicates
+from corpuskit.llm.similar import similar_components
 
 #: The classifier is fitted on at most so many labelled documents.
 MAX_TRAIN = 12_000
@@ -31,10 +31,17 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; a null id is kept."""
-    found = near_duplicates(docs)
-    lost = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__lost")).distinct()
-    return docs.join(lost, F.col("doc_id") == F.col("__lost"), "left_anti").dropDuplicates(["doc_id"])
+    """The document with the smallest id of each group of near duplicates; a null id is kept.
+
+    Texts are near from a Jaccard similarity of 0.8 of their five-word shingles.
+    """
+    rows = durable(similar_components(docs).where(F.col("id").isNotNull()))
+    heads = rows.groupBy("component").agg(F.min(F.struct("id", "text_hash")).alias("head"))
+    lost = rows.join(heads, "component").where((F.col("id") != F.col("head.id")) | (F.col("text_hash") != F.col("head.text_hash")))
+    lost = lost.select(F.col("id").alias("__lost"), F.col("text_hash").alias("__lost_text")).distinct()
+    own = docs.withColumn("__text", F.xxhash64(F.coalesce("text", F.lit(""))))
+    kept = own.join(lost, (F.col("doc_id") == F.col("__lost")) & (F.col("__text") == F.col("__lost_text")), "left_anti")
+    return kept.dropDuplicates(["doc_id"]).select(*docs.columns)
 
 
 def leak_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -37,14 +37,13 @@ BLOCK = 2_000_000
 # ---------------------------------------------------------------- fingerprints
 
 
-def fingerprint_block(texts: list[bytes], shingle: int, seed: int = 42) -> np.ndarray:
-    """SimHash of each text as uint64; a text without words has fingerprint 0."""
+def shingle_hashes(texts: list[bytes], shingle: int, seed: int = 42) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of the texts that have words, how many shingles each of these has, and the shingles' XXH64 one after the other."""
     words = [t.lower().split() for t in texts]
     counts = np.array([len(w) for w in words], np.int64)
-    out = np.zeros(len(texts), np.uint64)
     some = np.flatnonzero(counts)
     if not len(some):
-        return out
+        return some, np.empty(0, np.int64), np.empty(0, np.uint64)
     counts = counts[some]
     data = b" ".join([b" ".join(words[i]) for i in some])
     spaces = np.flatnonzero(np.frombuffer(data, np.uint8) == 32)
@@ -52,10 +51,18 @@ def fingerprint_block(texts: list[bytes], shingle: int, seed: int = 42) -> np.nd
     end = np.concatenate((spaces, [len(data)]))
     number = np.maximum(counts - shingle + 1, 1)
     first = np.repeat(np.concatenate(([0], np.cumsum(counts)[:-1])), number)
-    offset = np.concatenate(([0], np.cumsum(number)[:-1]))
-    first += np.arange(len(first)) - np.repeat(offset, number)
+    first += np.arange(len(first)) - np.repeat(np.cumsum(number) - number, number)
     last = first + np.repeat(np.minimum(counts, shingle), number) - 1
-    h = xxh64_slices(data, begin[first], end[last] - begin[first], seed)
+    return some, number, xxh64_slices(data, begin[first], end[last] - begin[first], seed)
+
+
+def fingerprint_block(texts: list[bytes], shingle: int, seed: int = 42) -> np.ndarray:
+    """SimHash of each text as uint64; a text without words has fingerprint 0."""
+    out = np.zeros(len(texts), np.uint64)
+    some, number, h = shingle_hashes(texts, shingle, seed)
+    if not len(some):
+        return out
+    offset = np.cumsum(number) - number
     # Bits are counted in byte lanes over runs of at most 255 shingles, which cannot overflow.
     runs = (number + 254) // 255
     run_offset = np.concatenate(([0], np.cumsum(runs)[:-1]))

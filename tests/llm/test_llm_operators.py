@@ -443,6 +443,37 @@ def test_lines_odd_rows(spark):
     assert linededup.dedup_lines(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_near_stage_equals_brute_force(spark):
+    """Edited copies on both sides of similarity 0.8, against all pairs."""
+    import corpus_pipeline
+
+    rnd, rows = random.Random(11), []
+    for _ in range(40):
+        base = [f"w{rnd.randrange(5000)}" for _ in range(rnd.randrange(3, 200))]
+        rows.append(" ".join(base))
+        for _ in range(4):
+            copy = list(base)
+            for _ in range(rnd.randrange(0, 1 + len(base) // 25)):
+                copy[rnd.randrange(len(copy))] = f"x{rnd.randrange(5000)}"
+            rows.append(" ".join(copy))
+    rows += ["common words of a passage that many texts hold " * 3 + t for t in rows[::5]] + ["", " "]
+    grams = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if (w := t.split()) else set() for t in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(grams):
+        for j in range(i):
+            if 5 * len(a & grams[j]) >= 4 * len(a | grams[j]):
+                u, v = sorted((find(i), find(j)))
+                root[v] = u
+    got = corpus_pipeline.near_stage(spark, docs(spark, list(enumerate(rows))), "").collect()
+    assert sorted(r.doc_id for r in got) == [i for i in range(len(rows)) if root[i] == i]
+
+
 def test_pipeline_runs(spark):
     import corpus_pipeline
 
