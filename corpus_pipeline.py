@@ -31,17 +31,18 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; a null id is kept.
+    """The document with the smallest id of each group of near duplicates; rows with a null id are kept as they are.
 
-    Texts are near from a Jaccard similarity of 0.8 of their five-word shingles.
+    Texts are near from a Jaccard similarity of 0.8 of their five-word shingles. Rows go by id and text: repeated rows
+    become one, and rows that share an id but are not near each other stay.
     """
     rows = durable(similar_components(docs).where(F.col("id").isNotNull()))
     heads = rows.groupBy("component").agg(F.min(F.struct("id", "text_hash")).alias("head"))
     lost = rows.join(heads, "component").where((F.col("id") != F.col("head.id")) | (F.col("text_hash") != F.col("head.text_hash")))
     lost = lost.select(F.col("id").alias("__lost"), F.col("text_hash").alias("__lost_text")).distinct()
-    own = docs.withColumn("__text", F.xxhash64(F.coalesce("text", F.lit(""))))
+    own = docs.withColumns({"__text": F.xxhash64(F.coalesce("text", F.lit(""))), "__row": F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())})
     kept = own.join(lost, (F.col("doc_id") == F.col("__lost")) & (F.col("__text") == F.col("__lost_text")), "left_anti")
-    return kept.dropDuplicates(["doc_id"]).select(*docs.columns)
+    return kept.dropDuplicates(["doc_id", "__text", "__row"]).select(*docs.columns)
 
 
 def leak_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

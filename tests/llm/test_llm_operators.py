@@ -474,6 +474,15 @@ def test_near_stage_equals_brute_force(spark):
     assert sorted(r.doc_id for r in got) == [i for i in range(len(rows)) if root[i] == i]
 
 
+def test_near_stage_null_and_shared_ids(spark):
+    import corpus_pipeline
+
+    one, two = "the first of two texts that have no word in common", "another one about something else and far from it"
+    rows = [(None, one), (None, two), (None, two), (7, one), (7, two), (7, two), (8, two)]
+    got = corpus_pipeline.near_stage(spark, docs(spark, rows), "").collect()
+    assert sorted((str(r.doc_id), r.text) for r in got) == sorted([("None", one), ("None", two), ("None", two), ("7", one), ("7", two)])
+
+
 def test_pipeline_runs(spark):
     import corpus_pipeline
 
