@@ -49,9 +49,26 @@ def shingles(words_: Column, k: int, whole_if_short: bool = True) -> Column:
     return bound(words_, grams)
 
 
+def gram_hashes(words_: Column, k: int, whole_if_short: bool = True) -> Column:
+    """As ``shingles``, each gram as a 64-bit hash of its words' hashes: eight bytes in place of a string."""
+    none = F.array().cast("array<bigint>")
+
+    def grams(w: Column) -> Column:
+        every = F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - k, F.lit(0))), lambda i: F.xxhash64(F.slice(w, i + 1, k)))
+        short = F.when(F.size(w) == 0, none).otherwise(F.array(F.xxhash64(w))) if whole_if_short else none
+        return F.array_distinct(F.when(F.size(w) < k, short).otherwise(every))
+
+    return bound(F.transform(words_, lambda x: F.xxhash64(x)), grams)
+
+
+def strip_white(text: Column) -> Column:
+    """The text without white space at either end."""
+    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+
+
 def strip_think(text: Column) -> Column:
     """What follows the last closing think tag, without white space at the ends."""
-    return F.regexp_replace(F.substring_index(text, "</think>", -1), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return strip_white(F.substring_index(text, "</think>", -1))
 
 
 def first_filled(*fields: Column) -> Column:
@@ -81,6 +98,15 @@ def hash_order(*parts: Column, seed: int = 42) -> Column:
     return F.sha2(F.concat_ws(":", F.lit(str(seed)), *(p.cast("string") for p in parts)), 256)
 
 
+def multiset_digest(hashes: Column) -> Column:
+    """An aggregate over SHA-256 digests that no order changes: four sums of 56 bits each, hashed once more.
+
+    Sums need no list of all rows in one task, however many there are.
+    """
+    part = lambda i: F.sum(F.conv(F.substring(hashes, 1 + 14 * i, 14), 16, 10).cast("decimal(20,0)")) % F.lit(1 << 56).cast("decimal(20,0)")
+    return F.sha2(F.concat_ws(":", *(part(i).cast("bigint").cast("string") for i in range(4))), 256)
+
+
 def any_of(text: Column, needles: tuple[str, ...]) -> Column:
     """Whether the text holds one of the strings."""
     return F.exists(F.array(*map(F.lit, needles)), lambda n: F.contains(text, n))

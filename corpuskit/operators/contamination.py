@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import norm, norm_nonum, shingles, words
+from ..functions.text import gram_hashes, norm, norm_nonum, words
+from ..session import durable
+
+#: Most grams that are broadcast (about 40 bytes each).
+MOST_BROADCAST = 500_000
 
 
 def flag_by_key(df: DataFrame, key: Column, benchmark: DataFrame, other: Column, name: str) -> DataFrame:
@@ -14,32 +18,39 @@ def flag_by_key(df: DataFrame, key: Column, benchmark: DataFrame, other: Column,
     return df.withColumn("__own", key).join(held, F.col("__own") == F.col("__k"), "left").withColumn(name, F.coalesce("__hit", F.lit(False))).drop("__own", "__k", "__hit")
 
 
-def screen(df: DataFrame, text: Column, benchmark: DataFrame, other: Column) -> DataFrame:
-    """``df`` with ``exact`` and ``nonum``: equal normal form, and equal normal form with masked digits."""
-    df = flag_by_key(df, F.md5(norm(text)), benchmark, F.md5(norm(other)), "exact")
-    return flag_by_key(df, F.md5(norm_nonum(text)), benchmark, F.md5(norm_nonum(other)), "nonum")
+def keyed(df: DataFrame, text: Column) -> DataFrame:
+    """``df`` with the hashes of the normal form (``h``) and of the one with masked digits (``hn``)."""
+    return df.withColumns({"h": F.md5(norm(text)), "hn": F.md5(norm_nonum(text))})
+
+
+def screen(df: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``df`` (see ``keyed``) with ``exact`` and ``nonum``: whether a row of the keyed ``benchmark`` has the same hash."""
+    return flag_by_key(flag_by_key(df, F.col("h"), benchmark, F.col("h"), "exact"), F.col("hn"), benchmark, F.col("hn"), "nonum")
 
 
-def overlaps(left: DataFrame, right: DataFrame, k: int, whole_if_short: bool) -> DataFrame:
+def overlaps(left: DataFrame, right: DataFrame, k: int, whole_if_short: bool, small: str = "left") -> DataFrame:
     """``(l, r, shared, nl, nr)`` for rows (``id``, ``text``) that share a word ``k``-gram.
 
-    Only grams that both sides hold are joined, after each side has been reduced to distinct ones.
+    Grams are 64-bit hashes. Those of the side that should be small are joined inside the scan of the other one if
+    their number, counted first, allows a broadcast; else both are shuffled.
     """
-    a = left.select(F.col("id").alias("l"), shingles(words(F.col("text")), k, whole_if_short).alias("g")).withColumn("nl", F.size("g"))
-    b = right.select(F.col("id").alias("r"), shingles(words(F.col("text")), k, whole_if_short).alias("g")).withColumn("nr", F.size("g"))
-    met = a.select("l", "nl", F.explode("g").alias("g")).join(b.select("r", "nr", F.explode("g").alias("g")), "g")
+    a = left.select(F.col("id").alias("l"), gram_hashes(words(F.col("text")), k, whole_if_short).alias("g")).withColumn("nl", F.size("g")).select("l", "nl", F.explode("g").alias("g"))
+    b = right.select(F.col("id").alias("r"), gram_hashes(words(F.col("text")), k, whole_if_short).alias("g")).withColumn("nr", F.size("g")).select("r", "nr", F.explode("g").alias("g"))
+    held = durable(a if small == "left" else b)
+    one = F.broadcast(held) if held.count() <= MOST_BROADCAST else held
+    met = one.join(b if small == "left" else a, "g")
     return met.groupBy("l", "r", "nl", "nr").agg(F.count("*").alias("shared"))
 
 
-def contained(tasks: DataFrame, texts: DataFrame, k: int = 8, num: int = 3, den: int = 5) -> DataFrame:
+def contained(tasks: DataFrame, texts: DataFrame, k: int = 8, num: int = 3, den: int = 5, small: str = "left") -> DataFrame:
     """Tasks whose ``k``-grams lie in a text to ``num/den`` or more of the task's own: ``(l, r, shared, nl)``."""
-    return overlaps(tasks, texts, k, False).where(F.col("shared") * den >= F.col("nl") * num).select("l", "r", "shared", "nl")
+    return overlaps(tasks, texts, k, False, small).where(F.col("shared") * den >= F.col("nl") * num).select("l", "r", "shared", "nl")
 
 
-def similar(left: DataFrame, right: DataFrame, k: int = 3, num: int = 4, den: int = 5) -> DataFrame:
+def similar(left: DataFrame, right: DataFrame, k: int = 3, num: int = 4, den: int = 5, small: str = "left") -> DataFrame:
     """Pairs of rows of two tables with Jaccard similarity ``num/den`` or more."""
     total = F.col("nl") + F.col("nr") - F.col("shared")
-    return overlaps(left, right, k, True).where(F.col("shared") * den >= total * num).select("l", "r", "shared", total.alias("total"))
+    return overlaps(left, right, k, True, small).where(F.col("shared") * den >= total * num).select("l", "r", "shared", total.alias("total"))
 
 
 def gate(name: str, violations: DataFrame) -> DataFrame:

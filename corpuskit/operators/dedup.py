@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import shingles, words
+from ..functions.text import gram_hashes, words
 from ..session import durable
 
 
@@ -27,24 +27,24 @@ def latest(df: DataFrame, key: str, order: str) -> DataFrame:
 
 
 def shingle_sets(df: DataFrame, id_col: str, text: Column, k: int = 3) -> DataFrame:
-    """``(id, grams, n)``: distinct word shingles of each text."""
-    return df.select(F.col(id_col).alias("id"), shingles(words(text), k).alias("grams")).withColumn("n", F.size("grams"))
+    """``(id, grams)``: the hashes of the distinct word shingles of each text, in order."""
+    return df.select(F.col(id_col).alias("id"), F.array_sort(gram_hashes(words(text), k)).alias("grams"))
 
 
 def jaccard_pairs(sets: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
     """Pairs ``(a, b, shared, total)`` of sets (``id``, ``grams``) with Jaccard similarity ``num/den`` or more, a < b.
 
     Exact set-similarity join by prefix filtering: grams are ordered from rare to common over all sets, and two
-    similar sets share a gram among the first ``n - ceil(n * num / den) + 1``. Candidates are verified on whole
-    sets with integer arithmetic. Equal sets should be collapsed before, as ``near_duplicate_pairs`` does.
+    similar sets share a gram among the first ``n - ceil(n * num / den) + 1``. Grams that one set alone holds come
+    first and meet nothing, so only the others are moved and sorted. Candidates are verified on whole sets with
+    integer arithmetic. Equal sets should be collapsed before, as ``near_duplicate_pairs`` does.
     """
-    sets = sets.where(F.size("grams") > 0).withColumn("n", F.size("grams"))
-    grams = sets.select("id", "n", F.explode("grams").alias("g"))
-    common = grams.groupBy("g").agg(F.count("*").alias("df"))
+    sets = sets.where(F.size("grams") > 0)
+    grams = sets.select("id", F.size("grams").alias("n"), F.explode("grams").alias("g"))
+    common = durable(grams.groupBy("g").agg(F.count("*").alias("df")).where("df > 1"))
     ranked = grams.join(common, "g").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "g"))).alias("s"))
-    length = F.col("n") - F.ceil(F.col("n") * F.lit(num) / den).cast("int") + 1
-    prefix = ranked.select("id", "n", F.explode(F.slice("s", F.lit(1), length)).alias("e")).select("id", "n", F.col("e.g").alias("g"))
-    prefix = prefix.join(common.where("df > 1").select("g"), "g", "left_semi")
+    length = F.col("n") - F.ceil(F.col("n") * F.lit(num) / den).cast("int") + 1 - (F.col("n") - F.size("s"))
+    prefix = durable(ranked.where(length > 0).select("id", "n", F.explode(F.slice("s", F.lit(1), length)).alias("e")).select("id", "n", F.col("e.g").alias("g")))
     a, b = prefix.select("g", F.col("id").alias("a"), F.col("n").alias("na")), prefix.select("g", F.col("id").alias("b"), F.col("n").alias("nb"))
     near = (F.col("na") * den >= F.col("nb") * num) & (F.col("nb") * den >= F.col("na") * num)
     candidates = a.join(b, "g").where((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
@@ -57,13 +57,13 @@ def jaccard_pairs(sets: DataFrame, num: int = 4, den: int = 5) -> DataFrame:
 def near_duplicate_pairs(df: DataFrame, id_col: str, text: Column, k: int = 3, num: int = 4, den: int = 5) -> tuple[DataFrame, DataFrame]:
     """Near-duplicate pairs between class representatives, and the membership ``(id, rep)`` of all rows.
 
-    Rows with equal shingle sets are one class, named by its smallest id, however many they are.
+    Rows with equal shingle sets are one class, named by its smallest id, however many they are. The sets are built
+    once and written to the shared folder.
     """
-    sets = shingle_sets(df, id_col, text, k).withColumn("h", F.sha2(F.array_join(F.array_sort("grams"), "\n"), 256))
-    heads = sets.groupBy("h").agg(F.min("id").alias("rep"))
-    members = sets.select("id", "h").join(heads, "h").select("id", "rep")
-    reps = durable(sets.join(heads.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "grams"))
-    return jaccard_pairs(reps, num, den), members
+    sets = durable(shingle_sets(df, id_col, text, k).withColumns({"h1": F.xxhash64("grams"), "h2": F.xxhash64(F.lit(7), "grams")}))
+    heads = sets.groupBy("h1", "h2").agg(F.min("id").alias("rep"))
+    members = sets.select("id", "h1", "h2").join(heads, ["h1", "h2"]).select("id", "rep")
+    return jaccard_pairs(sets.join(heads.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "grams"), num, den), members
 
 
 def survivors(members: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -34,16 +34,37 @@ def ranked(df: DataFrame, by: list[str], order: list[Column], name: str = "place
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
 
 
+def group_places(df: DataFrame, by: list[str], order: list[Column], name: str = "place") -> DataFrame:
+    """As ``ranked`` for groups of any size: rows are sorted by range, and a group may span many tasks.
+
+    A row's place is its place in its partition plus the group's rows in the partitions before; only one row per
+    group and partition is needed for that. ``order`` must be unique inside a group.
+    """
+    keys = {f"__o{i}": c for i, c in enumerate(order)}
+    placed = durable(df.withColumns(keys).orderBy(*by, *keys).drop(*keys)).withColumn("__m", F.monotonically_increasing_id()).withColumn("__p", F.shiftright("__m", 33))
+    heads = placed.groupBy("__p", *by).agg(F.min("__m").alias("__first"), F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy(*by).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1))
+    heads = heads.select(F.col("__p").alias("__q"), *(F.col(c).alias(f"__g{i}") for i, c in enumerate(by)), "__first", F.coalesce(before, F.lit(0)).alias("__before"))
+    same = F.col("__p") == F.col("__q")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"__g{i}"))
+    joined = placed.join(heads, same)
+    return joined.withColumn(name, F.col("__before") + F.col("__m") - F.col("__first") + 1).drop("__m", "__p", "__q", "__first", "__before", *(f"__g{i}" for i in range(len(by))))
+
+
 def top_per_group(df: DataFrame, by: list[str], order: list[Column], most: Column | int) -> DataFrame:
     """The first ``most`` rows of each group. Spark limits groups before their shuffle where ``most`` is a number."""
     return ranked(df, by, order, "__place").where(F.col("__place") <= most).drop("__place")
 
 
 def backfilled(df: DataFrame, slice_col: str, source_col: str, order: Column, target: Column, cap: Column) -> DataFrame:
-    """Rows up to the target of each slice with ``filled``: those within the source cap come first, then the rest."""
+    """Rows up to the target of each slice with ``filled``: those within the source cap come first, then the rest.
+
+    Sources and slices may hold any share of the rows: no window has a whole one of them in a task.
+    """
     df = df.withColumn("__order", order)
-    df = ranked(df, [slice_col, source_col], [F.col("__order")], "__own").withColumn("filled", F.col("__own") > cap)
-    df = ranked(df, [slice_col], [F.col("filled"), F.col("__order")], "__place")
+    df = group_places(df, [slice_col, source_col], [F.col("__order")], "__own").withColumn("filled", F.col("__own") > cap)
+    df = group_places(df, [slice_col], [F.col("filled"), F.col("__order")], "__place")
     return df.where(F.col("__place") <= target).drop("__order", "__own", "__place")
 
 
@@ -83,6 +104,27 @@ def group_split(df: DataFrame, group: str, order: Column, part: int = 5) -> Data
 
 
 def mix_in(base: DataFrame, extra: DataFrame, ratio: float, order: Column) -> DataFrame:
-    """``base`` with ``round(n * r / (1 - r))`` rows of ``extra``, the first in ``order``; columns by name."""
+    """``base`` with ``round(n * r / (1 - r))`` rows of ``extra``, the first in ``order``; columns by name.
+
+    The share of ``extra`` may be large, so rows are placed by ranges and not by a global limit.
+    """
     wanted = round(base.count() * ratio / (1 - ratio))
-    return base.unionByName(extra.orderBy(order).limit(wanted), allowMissingColumns=True)
+    placed = dense_ids(extra.withColumn("__o", order), [F.col("__o")], "__place")
+    return base.unionByName(placed.where(F.col("__place") < wanted).drop("__o", "__place"), allowMissingColumns=True)
+
+
+def usable_mix(rows: DataFrame, reasons: dict[str, Column], order: list[Column], wanted: int) -> tuple[DataFrame, DataFrame]:
+    """The first ``wanted`` usable rows, and ``(reason, n)`` of all that are not: the first of the reasons that holds.
+
+    Fewer usable rows than wanted are an error.
+    """
+    why = F.lit(None).cast("string")
+    for name, holds in reasons.items():
+        why = F.coalesce(why, F.when(holds, name))
+    marked = rows.withColumn("__why", why)
+    counts = marked.groupBy(F.coalesce("__why", F.lit("usable")).alias("reason")).agg(F.count("*").alias("n"))
+    placed = dense_ids(marked.where("__why is null").drop("__why"), order, "__place")
+    taken = placed.where(F.col("__place") < wanted).drop("__place")
+    if taken.count() < wanted:
+        raise ValueError(f"fewer than {wanted} usable rows")
+    return taken, counts

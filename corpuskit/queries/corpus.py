@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import first_filled, hash_order, norm, norm_nonum, strip_think, title, word_count
+from ..functions.text import first_filled, hash_order, multiset_digest, norm, norm_nonum, strip_think, title, word_count
 from ..operators import contamination, dedup, mixture
+from ..session import durable
 from .registry import Registry, table
 
 R = Registry()
@@ -35,12 +36,20 @@ STATUS_SQL = f"""
 """
 
 
+def keyed_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without their texts: names, whether the length fits, and the hashes of the normal forms."""
+    d = docs(spark, sf_dir).select("doc_id", "source", "lang", "text", F.char_length("text").between(20, 12_000).alias("fits"))
+    return contamination.keyed(d, F.col("text")).drop("text")
+
+
+def screened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.screen(keyed_docs(spark, sf_dir), contamination.keyed(table(spark, sf_dir, "benchmark"), F.col("text")).select("h", "hn"))
+
+
 def statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with the first reason to drop them: length, benchmark, dup; else kept."""
-    d = contamination.screen(docs(spark, sf_dir), F.col("text"), table(spark, sf_dir, "benchmark"), F.col("text"))
-    d = dedup.first_occurrence(d, F.md5(norm(F.col("text"))), "doc_id")
-    ok = F.char_length("text").between(20, 12_000)
-    return d.withColumn("status", F.when(~ok, "length").when(F.col("exact") | F.col("nonum"), "benchmark").when(~F.col("is_first"), "dup").otherwise("kept"))
+    d = dedup.first_occurrence(durable(screened(spark, sf_dir)), F.col("h"), "doc_id")
+    return d.withColumn("status", F.when(~F.col("fits"), "length").when(F.col("exact") | F.col("nonum"), "benchmark").when(~F.col("is_first"), "dup").otherwise("kept"))
 
 
 @R.add(STATUS_SQL + "SELECT source, status, count(*) AS n FROM s GROUP BY ALL")
@@ -60,12 +69,12 @@ def nonum_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @R.add(f"SELECT doc_id, md5({N}) IN (SELECT md5({N}) FROM benchmark) AS exact FROM documents")
 def bench_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination.screen(docs(spark, sf_dir), F.col("text"), table(spark, sf_dir, "benchmark"), F.col("text")).select("doc_id", "exact")
+    return screened(spark, sf_dir).select("doc_id", "exact")
 
 
 @R.add(f"SELECT doc_id, md5({NN}) IN (SELECT md5({NN}) FROM benchmark) AS nonum FROM documents")
 def bench_nonum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contamination.screen(docs(spark, sf_dir), F.col("text"), table(spark, sf_dir, "benchmark"), F.col("text")).select("doc_id", "nonum")
+    return screened(spark, sf_dir).select("doc_id", "nonum")
 
 
 @R.add(f"""
@@ -107,7 +116,7 @@ def first_containing(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def audit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row of detector counts; a later detector is asked only where the earlier ones found nothing."""
-    d = contamination.screen(docs(spark, sf_dir), F.col("text"), table(spark, sf_dir, "benchmark"), F.col("text")).select("doc_id", "exact", "nonum")
+    d = screened(spark, sf_dir).select("doc_id", "exact", "nonum")
     held = bench_containment(spark, sf_dir).select("doc_id").distinct().withColumn("gram", F.lit(True))
     d = d.join(held, "doc_id", "left").withColumn("gram", F.coalesce("gram", F.lit(False)))
     return d.agg(
@@ -226,10 +235,11 @@ QUOTA_SQL = f"""
 
 def heldout(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stratified held-out set of 100 documents."""
-    d = docs(spark, sf_dir).select("doc_id", "lang", "text")
+    d = docs(spark, sf_dir).select("doc_id", "lang")
     quotas = mixture.heldout_quotas(d.groupBy("lang").agg(F.count("*").alias("n")), "lang", "n", 100).withColumnRenamed("lang", "__g")
-    placed = mixture.ranked(d, ["lang"], [hash_order(F.col("doc_id"))])
-    return placed.join(F.broadcast(quotas), F.col("lang") == F.col("__g")).where(F.col("place") <= F.col("quota")).drop("__g")
+    # No quota is above the whole size, so groups are cut to it before their shuffle.
+    placed = mixture.ranked(d, ["lang"], [hash_order(F.col("doc_id"))]).where("place <= 100")
+    return placed.join(quotas, F.col("lang") == F.col("__g")).where(F.col("place") <= F.col("quota")).drop("__g")
 
 
 @R.add(QUOTA_SQL + "SELECT doc_id, lang FROM held")
@@ -242,9 +252,9 @@ def heldout_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT 'heldout_overlap' AS gate, count(*) AS n_violations, CASE WHEN count(*) = 0 THEN 'CLEAN' ELSE 'CONTAMINATED' END AS verdict FROM x WHERE h IN (SELECT h FROM t)
 """)
 def heldout_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held = heldout(spark, sf_dir)
-    train = docs(spark, sf_dir).join(held.select("doc_id"), "doc_id", "left_anti").select(F.md5(norm(F.col("text"))).alias("h"))
-    return contamination.gate("heldout_overlap", held.select(F.md5(norm(F.col("text"))).alias("h")).join(train, "h", "left_semi"))
+    marked = docs(spark, sf_dir).select("doc_id", F.md5(norm(F.col("text"))).alias("h")).join(heldout(spark, sf_dir).select("doc_id", F.lit(True).alias("held")), "doc_id", "left")
+    marked = durable(marked.select("h", F.col("held").isNotNull().alias("held")))
+    return contamination.gate("heldout_overlap", marked.where("held").join(marked.where("not held").select("h"), "h", "left_semi"))
 
 
 @R.add(f"""
@@ -276,7 +286,8 @@ def group_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 def row_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The validation rows of a two-percent split, in hash order."""
     d = docs(spark, sf_dir).select("doc_id")
-    return d.orderBy(hash_order(F.col("doc_id")), "doc_id").limit(-(-2 * d.count() // 100))
+    placed = mixture.dense_ids(d.withColumn("o", hash_order(F.col("doc_id"))), [F.col("o"), F.col("doc_id")], "place")
+    return placed.where(F.col("place") < -(-2 * d.count() // 100)).select("doc_id")
 
 
 @R.add(f"""
@@ -339,8 +350,11 @@ def subset_ban(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs(spark, sf_dir).where(~(F.contains("source", F.lit("src1")) | F.contains("source", F.lit("src7")))).select("doc_id")
 
 
-@R.add("SELECT lang, source, sha256(array_to_string(list_sort(list(sha256(text))), chr(10))) AS digest, count(*) AS n FROM documents GROUP BY lang, source")
+DIGEST_SQL = " || ':' || ".join(f"CAST(CAST(sum(CAST('0x' || {{h}}[{1 + 14 * i}:{14 * i + 14}] AS BIGINT)) % 72057594037927936 AS BIGINT) AS VARCHAR)" for i in range(4))
+
+
+@R.add(f"WITH d AS (SELECT lang, source, sha256(text) AS h FROM documents) SELECT lang, source, sha256({DIGEST_SQL.format(h='h')}) AS digest, count(*) AS n FROM d GROUP BY lang, source")
 def dataset_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A digest of each shard's sorted content hashes."""
-    hashes = F.sort_array(F.collect_list(F.sha2("text", 256)))
-    return docs(spark, sf_dir).groupBy("lang", "source").agg(F.sha2(F.array_join(hashes, "\n"), 256).alias("digest"), F.count("*").alias("n"))
+    """A digest of each shard's contents that their order does not change."""
+    hashed = docs(spark, sf_dir).select("lang", "source", F.sha2("text", 256).alias("h"))
+    return hashed.groupBy("lang", "source").agg(multiset_digest(F.col("h")).alias("digest"), F.count("*").alias("n"))

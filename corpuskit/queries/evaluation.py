@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import markdown_row
+from ..functions.text import markdown_row, multiset_digest
 from ..operators import contamination, dedup
 from ..operators import evals as ops
 from ..plans.grid import expand
+from .corpus import DIGEST_SQL
 from .registry import Registry, table
 
 R = Registry()
@@ -109,11 +110,18 @@ def kept_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r.where(F.col("kept") * 2 >= F.col("total"))
 
 
-@R.add(f"WITH r AS (SELECT l_suppkey AS shard, l_orderkey AS id, {REASONS} AS reason FROM lineitem) SELECT shard, CAST(count(*) FILTER (WHERE reason = 'kept') AS BIGINT) AS n_rows, coalesce(list_sort(list(id) FILTER (WHERE reason = 'error')), []) AS errors FROM r GROUP BY shard")
+@R.add(f"""
+    WITH r AS (SELECT l_suppkey AS shard, l_orderkey AS id, sha256(CAST(l_orderkey AS VARCHAR)) AS h, {REASONS} AS reason FROM lineitem)
+    SELECT shard, CAST(count(*) FILTER (WHERE reason = 'kept') AS BIGINT) AS n_rows, CAST(count(*) FILTER (WHERE reason = 'error') AS BIGINT) AS n_errors, min(id) FILTER (WHERE reason = 'error') AS first_error,
+        max(id) FILTER (WHERE reason = 'error') AS last_error, sha256({DIGEST_SQL.format(h='h')}) AS digest FROM r GROUP BY shard
+""")
 def shard_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Kept rows and sorted ids of failed rows of each shard."""
+    """Kept and failed rows of each shard, the range of the failed ids, and a digest of all ids; no list of rows."""
     error = F.when(F.col("reason") == "error", F.col("l_orderkey"))
-    return reasons(spark, sf_dir).groupBy(F.col("l_suppkey").alias("shard")).agg(F.count_if(F.col("reason") == "kept").alias("n_rows"), F.sort_array(F.collect_list(error)).alias("errors"))
+    return reasons(spark, sf_dir).groupBy(F.col("l_suppkey").alias("shard")).agg(
+        F.count_if(F.col("reason") == "kept").alias("n_rows"), F.count(error).alias("n_errors"), F.min(error).alias("first_error"), F.max(error).alias("last_error"),
+        multiset_digest(F.sha2(F.col("l_orderkey").cast("string"), 256)).alias("digest"),
+    )
 
 
 @R.add("SELECT o_orderkey AS id FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber >= 4)")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import tensors
 from ..functions.text import words
 from ..operators import messages as ops
+from ..operators.mixture import dense_ids
 from .corpus import HASH, N, WORDS
 from .registry import Registry, table
 
@@ -200,28 +201,27 @@ def kl_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Vocabularies: the distinct words of a language, numbered by name.
-VOCAB = "(SELECT token, row_number() OVER (ORDER BY token) - 1 AS id FROM (SELECT DISTINCT lower(split_part(text, ' ', {n})) AS token FROM documents WHERE lang = '{lang}'))"
+VOCAB = f"(SELECT token, row_number() OVER (ORDER BY token) - 1 AS id FROM (SELECT DISTINCT unnest({WORDS.format(N)}) AS token FROM documents WHERE lang = '{{lang}}'))"
 
 
-def vocabulary(spark: SparkSession, sf_dir: str, lang: str, n: int) -> DataFrame:
-    """Distinct n-th words of a language, numbered by name."""
-    token = F.lower(F.split_part("text", F.lit(" "), F.lit(n)))
-    found = table(spark, sf_dir, "documents").where(F.col("lang") == lang).select(token.alias("token")).distinct()
-    return found.withColumn("id", F.row_number().over(Window.partitionBy().orderBy("token")) - 1)
+def vocabulary(spark: SparkSession, sf_dir: str, lang: str) -> DataFrame:
+    """Distinct words of all texts of a language, numbered by name."""
+    found = table(spark, sf_dir, "documents").where(F.col("lang") == lang).select(F.explode(words(F.col("text"))).alias("token")).distinct()
+    return dense_ids(found, [F.col("token")], "id")
 
 
 @R.add(f"""
-    WITH j AS (SELECT t.id AS t, s.id AS s FROM {VOCAB.format(n=2, lang='en')} t FULL JOIN {VOCAB.format(n=3, lang='en')} s USING (token)),
+    WITH j AS (SELECT t.id AS t, s.id AS s FROM {VOCAB.format(lang='en')} t FULL JOIN {VOCAB.format(lang='fr')} s USING (token)),
     c AS (SELECT count(t) AS teacher_vocab, count(s) AS student_vocab, CAST(count(*) FILTER (WHERE s IS NULL) AS BIGINT) AS only_teacher, CAST(count(*) FILTER (WHERE t IS NULL) AS BIGINT) AS only_student, CAST(count(*) FILTER (WHERE t <> s) AS BIGINT) AS moved FROM j)
     SELECT *, only_teacher::DOUBLE / greatest(teacher_vocab, 1) AS missing_frac, CASE WHEN only_teacher = 0 AND moved = 0 THEN 'exact' WHEN only_teacher::DOUBLE / greatest(teacher_vocab, 1) <= 0.1 THEN 'remap' ELSE 'none' END AS kd_mode FROM c
 """)
 def vocab_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.vocabulary_counts(vocabulary(spark, sf_dir, "en", 2), vocabulary(spark, sf_dir, "en", 3))
+    return ops.vocabulary_counts(vocabulary(spark, sf_dir, "en"), vocabulary(spark, sf_dir, "fr"))
 
 
-@R.add(f"SELECT CAST(t.id AS BIGINT) AS teacher_id, CAST(s.id AS BIGINT) AS student_id FROM {VOCAB.format(n=2, lang='en')} t JOIN {VOCAB.format(n=3, lang='en')} s USING (token)")
+@R.add(f"SELECT CAST(t.id AS BIGINT) AS teacher_id, CAST(s.id AS BIGINT) AS student_id FROM {VOCAB.format(lang='en')} t JOIN {VOCAB.format(lang='fr')} s USING (token)")
 def vocab_remap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ops.remap_table(vocabulary(spark, sf_dir, "en", 2), vocabulary(spark, sf_dir, "en", 3)).select(F.col("teacher_id").cast("bigint").alias("teacher_id"), F.col("student_id").cast("bigint").alias("student_id"))
+    return ops.remap_table(vocabulary(spark, sf_dir, "en"), vocabulary(spark, sf_dir, "fr")).select(F.col("teacher_id").cast("bigint").alias("teacher_id"), F.col("student_id").cast("bigint").alias("student_id"))
 
 
 IDS = "[(vec_id * 7 + i * 13) % 97 FOR i IN range(0, 12)]"
