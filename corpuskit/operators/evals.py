@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import strip_think
+from ..functions.text import strip_think, strip_white, word_count
 
 #: The order in which tied votes resolve.
 PRIORITY = {"win": 3, "loss": 2, "tie": 1}
@@ -61,12 +63,63 @@ def accuracies(samples: DataFrame, strict: Column, loose: Column) -> DataFrame:
 
 
 def response_variants(text: Column) -> Column:
-    """The response, and its forms without the first line, the last line, both, and each without asterisks."""
-    lines = F.split(text, "\n", -1)
-    n = F.size(lines)
-    cut = lambda a, k: F.trim(F.array_join(F.slice(lines, F.lit(a), F.greatest(k, F.lit(0))), "\n"))
-    plain = [text, cut(2, n - 1), cut(1, n - 1), cut(2, n - 2)]
-    return F.array(*plain, *(F.replace(p, F.lit("*"), F.lit("")) for p in plain))
+    """The response, the response without asterisks, and the one without blank lines."""
+    lines = F.filter(F.split(text, "\n", -1), lambda x: strip_white(x) != "")
+    return F.array(text, F.replace(text, F.lit("*"), F.lit("")), F.array_join(lines, "\n"))
+
+
+#: A check of an instruction: the response and the instruction's arguments (a map of strings) to a boolean.
+Check = Callable[[Column, Column], Column]
+
+#: Instructions by name. Add to it, or pass another registry to ``instruction_checks``.
+CHECKS: dict[str, Check] = {
+    "no_comma": lambda t, a: ~F.contains(t, F.lit(",")),
+    "least_words": lambda t, a: word_count(t) >= F.try_element_at(a, F.lit("n")).cast("int"),
+    "most_words": lambda t, a: word_count(t) <= F.try_element_at(a, F.lit("n")).cast("int"),
+    "lower_case": lambda t, a: t == F.lower(t),
+    "keyword": lambda t, a: F.contains(F.lower(t), F.lower(F.try_element_at(a, F.lit("word")))),
+    "no_asterisk": lambda t, a: ~F.contains(t, F.lit("*")),
+    "paragraphs": lambda t, a: F.size(F.split(t, "\n\n", -1)) == F.try_element_at(a, F.lit("n")).cast("int"),
+}
+
+
+def instruction_checks(samples: DataFrame, text: Column, instructions: str, checks: dict[str, Check] | None = None) -> DataFrame:
+    """``samples`` with ``strict`` and ``loose``: whether the response follows each of its instructions.
+
+    ``instructions`` is an array of ``(name, args)``. A blank response follows nothing; loosely, one of its variants
+    that is not blank must follow. An instruction without a check is an error.
+    """
+    checks = CHECKS if checks is None else checks
+
+    def one(t: Column, i: Column) -> Column:
+        out = F.raise_error(F.concat(F.lit("no check for instruction "), i["name"])).cast("boolean")
+        for name, check in checks.items():
+            out = F.when(i["name"] == name, F.coalesce(check(t, i["args"]), F.lit(False))).otherwise(out)
+        return out
+
+    full = strip_white(text) != ""
+    met = samples.withColumn("__variants", F.filter(response_variants(text), lambda v: strip_white(v) != ""))
+    strict = F.transform(instructions, lambda i: full & one(text, i))
+    loose = F.transform(instructions, lambda i: F.exists("__variants", lambda v: one(v, i)))
+    return met.withColumns({"strict": strict, "loose": loose}).drop("__variants")
+
+
+def first_response(*fields: Column) -> Column:
+    """The first text of the first JSON list that is not empty, however deep it is nested; an error if there is none."""
+    inner = lambda f: F.regexp_extract(f, r'^[\s\[]*("(?:[^"\\]|\\.)*")', 1)
+    said = F.coalesce(*(F.from_json(F.concat(F.lit("["), F.nullif(inner(f), F.lit("")), F.lit("]")), "array<string>")[0] for f in fields))
+    return F.coalesce(said, F.raise_error(F.lit("no response in the sample")).cast("string"))
+
+
+def truncated_answer(answer: Column, part: int = 3) -> Column:
+    """The beginning of an answer, one character at least: a judge must prefer the whole."""
+    return F.left(answer, F.greatest(F.lit(1), F.floor(F.char_length(answer) / part)).cast("int"))
+
+
+def compared(candidates: DataFrame, references: DataFrame, key: str, order: str) -> DataFrame:
+    """Candidates with the reference answer of their key, the last by ``order``; those without one are left out."""
+    last = references.groupBy(key).agg(F.max_by("answer", order).alias("reference"))
+    return candidates.join(last, key)
 
 
 def objective(metrics: DataFrame, anchor: DataFrame, run: str, metric: str, value: str) -> DataFrame:

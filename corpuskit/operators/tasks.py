@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import any_of, hits
+from ..session import durable
+from .mixture import group_places
 
 # Keyword groups and patterns of the difficulty score, the bug families and the quality rules.
 CONCEPTS = {
@@ -125,19 +127,19 @@ def stratified_cap(pool: DataFrame, tier_col: str, repo_col: str, order: Column,
 
 def interleaved(df: DataFrame, tier_col: str, order: Column, pattern: tuple[str, ...]) -> DataFrame:
     """``df`` with ``cycle`` and ``slot``, whose order repeats the pattern of tiers; used-up tiers are skipped."""
-    place = F.row_number().over(Window.partitionBy(tier_col).orderBy(order)) - 1
     slots = {t: [i for i, p in enumerate(pattern) if p == t] for t in dict.fromkeys(pattern)}
     cycle, slot = F.lit(None).cast("bigint"), F.lit(None).cast("int")
     for t, at in slots.items():
         here = F.col(tier_col) == t
         cycle = F.when(here, F.floor(F.col("__n") / len(at))).otherwise(cycle)
         slot = F.when(here, F.element_at(F.array(*map(F.lit, at)), (F.col("__n") % len(at) + 1).cast("int"))).otherwise(slot)
-    return df.withColumn("__n", place).withColumns({"cycle": cycle, "slot": slot}).drop("__n")
+    placed = group_places(df, [tier_col], [order], "__n").withColumn("__n", F.col("__n") - 1)
+    return placed.withColumns({"cycle": cycle, "slot": slot}).drop("__n")
 
 
 def round_robin(df: DataFrame, by: str, order: Column, workers: int) -> DataFrame:
     """``df`` with ``worker``: rows of each group are dealt in turn."""
-    return df.withColumn("worker", (F.row_number().over(Window.partitionBy(by).orderBy(order)) - 1) % workers)
+    return group_places(df, [by], [order], "worker").withColumn("worker", (F.col("worker") - 1) % workers)
 
 
 def adaptive_stop(rollouts: DataFrame, task: str, index: str, good: str, stop_at: Column, most: Column) -> DataFrame:
@@ -154,22 +156,32 @@ def running_guard(df: DataFrame, by: list[str], order: list[Column], cost: Colum
     return df.withColumn("spent_before", F.coalesce(F.sum(cost).over(w), F.lit(0.0))).where(F.col("spent_before") <= cap)
 
 
-def balanced_greedy(pool: DataFrame, target: int, repo_cap: int = 10, family_cap: int = 18) -> DataFrame:
+def balanced_greedy(pool: DataFrame, target: int, repo_cap: int = 10, family_cap: int = 18, seeds: DataFrame | None = None, most: int = 200_000) -> DataFrame:
     """``target`` tasks chosen one by one by (repo count, family count, -score, flags, id), counts rising with each pick.
 
-    The pool is pruned first: no repository and no family can contribute more than its cap, so the sequential step sees
-    at most ``repo_cap`` rows a repository. Columns: ``id``, ``repo``, ``family``, ``score``, ``n_flags``.
+    Seeds come first, as picks of their own, and count toward the caps. The pool is pruned first: of a repository and
+    a family, only as many rows can be chosen as their caps allow, so the sequential step sees at most that many of each.
+    Their number is counted before; above ``most`` it is an error. Columns: ``id``, ``repo``, ``family``, ``score``,
+    ``n_flags`` and ``pick``.
     """
+    columns = ["id", "repo", "family", "score", "n_flags"]
+    if seeds is not None:
+        pool = pool.join(seeds.select("id"), "id", "left_anti")
     best = Window.partitionBy("repo", "family").orderBy(F.desc("score"), "n_flags", "id")
-    head = pool.withColumn("__n", F.row_number().over(best)).where(F.col("__n") <= min(repo_cap, family_cap)).drop("__n")
+    head = pool.withColumn("__n", F.row_number().over(best)).where(F.col("__n") <= min(repo_cap, family_cap)).select(*columns, F.lit(False).alias("seed"))
+    if seeds is not None:
+        head = head.unionByName(seeds.select(*columns, F.lit(True).alias("seed")))
+    head = durable(head.withColumns({"score": F.col("score").cast("int"), "n_flags": F.col("n_flags").cast("int")}))
+    if head.limit(most + 1).count() > most:
+        raise ValueError(f"more than {most} repositories and families times their caps; the greedy choice is one task")
 
     def choose(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = sorted(pdf.itertuples(index=False), key=lambda r: (-r.score, r.n_flags, r.id))
+        rows = sorted(pdf.itertuples(index=False), key=lambda r: (not r.seed, r.id if r.seed else 0, -r.score, r.n_flags, r.id))
         repos: dict[str, int] = {}
         families: dict[str, int] = {}
         out = []
         while rows and len(out) < target:
-            free = [r for r in rows if repos.get(r.repo, 0) < repo_cap and families.get(r.family, 0) < family_cap]
+            free = [rows[0]] if rows[0].seed else [r for r in rows if repos.get(r.repo, 0) < repo_cap and families.get(r.family, 0) < family_cap]
             if not free:
                 break
             pick = min(free, key=lambda r: (repos.get(r.repo, 0), families.get(r.family, 0), -r.score, r.n_flags, r.id))
@@ -177,10 +189,9 @@ def balanced_greedy(pool: DataFrame, target: int, repo_cap: int = 10, family_cap
             repos[pick.repo] = repos.get(pick.repo, 0) + 1
             families[pick.family] = families.get(pick.family, 0) + 1
             out.append((pick.id, pick.repo, pick.family, pick.score, pick.n_flags, len(out) + 1))
-        return pd.DataFrame(out, columns=["id", "repo", "family", "score", "n_flags", "pick"])
+        return pd.DataFrame(out, columns=[*columns, "pick"])
 
-    schema = "id bigint, repo string, family string, score int, n_flags int, pick int"
-    return head.select("id", "repo", "family", F.col("score").cast("int").alias("score"), F.col("n_flags").cast("int").alias("n_flags")).groupBy().applyInPandas(choose, schema)
+    return head.groupBy().applyInPandas(choose, "id bigint, repo string, family string, score int, n_flags int, pick int")
 
 
 def generate(rows: DataFrame, call: Iterator, schema: str) -> DataFrame:

@@ -28,7 +28,7 @@ def sql_list(values: tuple[str, ...]) -> str:
 
 
 TASKS = f"""
-    WITH base AS (SELECT doc_id AS id, {sql_list(REPOS)}[1 + doc_id % 6] AS repo, {sql_list(PHRASES)}[1 + doc_id % 10] || chr(10) || left(text, 300) AS statement,
+    WITH base AS (SELECT doc_id AS id, {sql_list(REPOS)}[1 + doc_id % 6] AS repo, {sql_list(PHRASES)}[1 + doc_id % 10] || chr(10) || text AS statement,
         doc_id % 10 AS n_files, (doc_id * 7) % 60 AS n_add, CASE WHEN doc_id % 11 = 0 THEN 'tests' ELSE 'src' END AS dir, doc_id % 23 AS n_fail, doc_id % 7 AS n_pass FROM documents),
     p AS (SELECT *, coalesce(array_to_string([('diff --git a/' || dir || '/f' || i || '.py b/' || dir || '/f' || i || '.py' || chr(10) || '--- a/x' || chr(10) || '+++ b/x' || chr(10) || repeat('+new' || chr(10), n_add) || '-old' || chr(10)) FOR i IN range(0, n_files)], ''), '') AS patch,
         CASE WHEN id % 13 = 0 THEN '' ELSE 'diff' END AS test_patch, [('test_' || i || CASE WHEN id % 17 = 0 THEN '[x' ELSE '[x]' END) FOR i IN range(0, n_fail)] AS failing FROM base),
@@ -42,7 +42,7 @@ def task_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     i = F.col("doc_id")
     pick = lambda values: F.element_at(F.array(*map(F.lit, values)), (i % len(values) + 1).cast("int"))
     base = table(spark, sf_dir, "documents").select(
-        i.alias("id"), pick(REPOS).alias("repo"), F.concat(pick(PHRASES), F.lit("\n"), F.left("text", F.lit(300))).alias("statement"), (i % 10).cast("int").alias("n_files"),
+        i.alias("id"), pick(REPOS).alias("repo"), F.concat(pick(PHRASES), F.lit("\n"), "text").alias("statement"), (i % 10).cast("int").alias("n_files"),
         ((i * 7) % 60).cast("int").alias("n_add"), F.when(i % 11 == 0, "tests").otherwise("src").alias("dir"), (i % 23).cast("int").alias("n_fail"), (i % 7).cast("int").alias("n_pass"),
     )
     name = lambda k: F.concat("dir", F.lit("/f"), k.cast("string"), F.lit(".py"))
@@ -254,12 +254,13 @@ def cost_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @R.add(f"""
     WITH s AS (SELECT task, rollout, count(*) OVER w AS n, CAST(sum(good::INT) OVER w AS BIGINT) AS k FROM {ROLLS} WINDOW w AS (PARTITION BY task ORDER BY rollout ROWS BETWEEN 49 PRECEDING AND CURRENT ROW))
-    SELECT task, rollout, n, k, n >= 5 AND k < 0.1 * n AS paused FROM s
+    SELECT task, rollout, n, k, task % 5 <> 0 AND n >= 30 AND k < 0.1 * n AS paused FROM s
 """)
 def rolling_rate_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = Window.partitionBy("task").orderBy("rollout").rowsBetween(-49, 0)
     s = rollouts(spark, sf_dir).select("task", "rollout", F.count("*").over(w).alias("n"), F.sum(F.col("good").cast("int")).over(w).alias("k"))
-    return s.withColumn("paused", (F.col("n") >= 5) & (F.col("k") < 0.1 * F.col("n")))
+    # Tasks with a decision of their own (every fifth here) are exempt.
+    return s.withColumn("paused", (F.col("task") % 5 != 0) & (F.col("n") >= 30) & (F.col("k") < 0.1 * F.col("n")))
 
 
 @R.add(f"""
@@ -291,10 +292,11 @@ def probe_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tries.select("image", classify(F.col("s")).alias("result"))
 
 
-@R.add("SELECT event_id, CASE WHEN props IS NULL THEN [] ELSE [props] END AS items FROM events")
+@R.add("SELECT event_id, CASE WHEN props IS NULL THEN [] WHEN event_id % 3 = 0 THEN [event_type, 'x y'] ELSE [props] END AS items FROM events")
 def list_field(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Polymorphic list fields: JSON objects are one item."""
-    return table(spark, sf_dir, "events").select("event_id", as_list(F.col("props")).alias("items"))
+    """Polymorphic list fields: a JSON list is its items, any other text is one item."""
+    mixed = F.when(F.col("event_id") % 3 == 0, F.concat(F.lit('["'), "event_type", F.lit('", "x y"]'))).otherwise(F.col("props"))
+    return table(spark, sf_dir, "events").select("event_id", as_list(F.when(F.col("props").isNotNull(), mixed)).alias("items"))
 
 
 @R.add("SELECT p_partkey AS id, p_partkey % 5 = 0 AS is_base, p_size AS score FROM part WHERE p_partkey % 4 <> 0")

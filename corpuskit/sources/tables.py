@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import multiset_digest
 from ..operators.dedup import latest
+from ..session import durable
 
 MESSAGE = T.StructType([T.StructField("role", T.StringType()), T.StructField("content", T.StringType())])
 PROMPTS = T.StructType([T.StructField("sample_id", T.LongType()), T.StructField("prompt", T.StringType()), T.StructField("slice", T.StringType()), T.StructField("source", T.StringType())])
@@ -100,10 +103,122 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
     return tasks.select("path", "task", "metric", F.col("v").try_cast("double").alias("value")).where(F.col("value").isNotNull())
 
 
+def read_samples(spark: SparkSession, pattern: str, schema: T.StructType) -> DataFrame:
+    """JSON lines of all files that a pattern matches; none at all is an error."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    if found is None or not len(found):
+        raise ValueError(f"no sample files match {pattern}")
+    return read_jsonl(spark, pattern, schema)
+
+
+def read_plan(text: str, sections: tuple[str, ...]) -> dict:
+    """A plan as JSON (or YAML, where a parser is installed); a missing section is an error."""
+    try:
+        plan = json.loads(text)
+    except json.JSONDecodeError:
+        import yaml
+
+        plan = yaml.safe_load(text)
+    missing = [s for s in sections if s not in plan]
+    if missing:
+        raise ValueError(f"the plan lacks {', '.join(missing)}")
+    return plan
+
+
+def shard_seals(expected: DataFrame, results: DataFrame, floor: float = 0.5) -> DataFrame:
+    """``(shard, total, n_rows, n_dropped, sealed)``: a shard that kept less than ``floor`` of its prompts stays open.
+
+    ``expected`` has ``shard`` and ``sample_id``; ``results`` has ``sample_id`` and ``dropped`` (null for a kept row, else why).
+    A prompt without result counts as dropped.
+    """
+    met = expected.join(results.select("sample_id", "dropped", F.lit(True).alias("__got")), "sample_id", "left")
+    kept = F.count_if(F.col("__got") & F.col("dropped").isNull())
+    t = met.groupBy("shard").agg(F.count("*").alias("total"), kept.alias("n_rows"))
+    return t.select("shard", "total", "n_rows", (F.col("total") - F.col("n_rows")).alias("n_dropped"), (F.col("n_rows") >= floor * F.greatest("total", F.lit(1))).alias("sealed"))
+
+
+def drop_reasons(expected: DataFrame, results: DataFrame) -> DataFrame:
+    """``(shard, reason, n)`` of what was dropped; a prompt without result is ``missing``."""
+    met = expected.join(results.select("sample_id", "dropped", F.lit(True).alias("__got")), "sample_id", "left")
+    why = F.when(F.col("__got").isNull(), "missing").otherwise(F.col("dropped"))
+    return met.select("shard", why.alias("reason")).where("reason is not null").groupBy("shard", "reason").agg(F.count("*").alias("n"))
+
+
+def seal_shards(expected: DataFrame, results: DataFrame, path: str, prompts_hash: str, floor: float = 0.5) -> DataFrame:
+    """Write the kept rows of shards that may be sealed, and their manifest beside them; returns ``shard_seals``.
+
+    Shards that the manifest already has are left alone. A manifest of other prompts is an error.
+    """
+    spark = results.sparkSession
+    expected = pending_shards(expected, sealed_manifest(spark, path), prompts_hash)
+    seals = durable(shard_seals(expected, results, floor))
+    kept = results.where("dropped is null").drop("dropped").join(expected.select("sample_id", "shard"), "sample_id").join(seals.where("sealed").select("shard"), "shard")
+    kept.write.option("compression", "zstd").mode("append").partitionBy("shard").parquet(f"{path}/rows")
+    # The manifest comes last: a shard whose rows were written but not listed is written again.
+    seals.where("sealed").select("shard", "total", "n_rows", "n_dropped", F.lit(prompts_hash).alias("prompts_sha256")).write.mode("append").parquet(f"{path}/manifest")
+    return seals
+
+
+MANIFEST = "shard bigint, total bigint, n_rows bigint, n_dropped bigint, prompts_sha256 string"
+
+
+def sealed_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The manifest of a sealed corpus; without one, no rows."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/manifest")
+    there = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+    return spark.read.schema(MANIFEST).parquet(f"{path}/manifest") if there else spark.createDataFrame([], MANIFEST)
+
+
+def pending_shards(expected: DataFrame, manifest_: DataFrame, prompts_hash: str) -> DataFrame:
+    """The rows of shards that are not sealed; a manifest of other prompts is an error, since ids would not match."""
+    if not manifest_.where(~F.col("prompts_sha256").eqNullSafe(F.lit(prompts_hash))).isEmpty():
+        raise ValueError("the prompts are not those of the sealed shards")
+    return expected.join(manifest_.select("shard").distinct(), "shard", "left_anti")
+
+
+def write_corpus(train: DataFrame, heldout: DataFrame, funnel: DataFrame, path: str) -> dict[str, dict]:
+    """Training and held-out prompts as JSON lines, their funnel, and a manifest of rows and content digests."""
+    about = {}
+    for name, rows in (("prompts", train), ("prompts_heldout", heldout)):
+        write_jsonl(rows, f"{path}/{name}")
+        back = rows.sparkSession.read.text(f"{path}/{name}")
+        n, digest = back.agg(F.count("*"), multiset_digest(F.sha2("value", 256))).first()
+        about[name] = {"rows": n, "digest": digest}
+    write_report(funnel, f"{path}/funnel")
+    write_report(train.sparkSession.createDataFrame([(k, v["rows"], v["digest"]) for k, v in about.items()], "name string, rows bigint, digest string"), f"{path}/MANIFEST")
+    return about
+
+
+def write_split(df: DataFrame, path: str, split: str = "split") -> None:
+    """Training and validation rows in a folder of each."""
+    write_shards(df, path, [split])
+
+
+def write_tensors(df: DataFrame, path: str, shapes: dict[str, int]) -> None:
+    """Rows of arrays, one row per rollout; an inner length other than the stated one is an error."""
+    bad = F.lit(False)
+    for name, size in shapes.items():
+        bad = bad | F.exists(name, lambda x: F.size(x) != size)  # noqa: B023
+    wrong = df.where(bad).limit(1).collect()
+    if wrong:
+        raise ValueError(f"an array has not its shape: {shapes}")
+    write_shards(df, path)
+
+
 def write_report(df: DataFrame, path: str, most: int = 10_000) -> None:
-    """A small table as one JSON document; more than ``most`` rows are an error."""
+    """A small table as one JSON document; more than ``most`` rows are an error.
+
+    The document is written beside its place and moved there, so a reader finds the old one or the new one.
+    """
     rows = df.limit(most + 1).collect()
     if len(rows) > most:
         raise ValueError("a report is a small table")
     spark = df.sparkSession
-    spark.createDataFrame([(json.dumps([r.asDict(True) for r in rows], ensure_ascii=False, default=str),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    draft = f"{path}.{uuid.uuid4().hex}"
+    spark.createDataFrame([(json.dumps([r.asDict(True) for r in rows], ensure_ascii=False, default=str),)], "value string").coalesce(1).write.text(draft)
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = place(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(place(path), True)
+    if not files.rename(place(draft), place(path)):
+        raise OSError(f"the report could not be moved to {path}")
