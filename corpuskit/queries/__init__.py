@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import corpus, evaluation, messages, tasks
+from . import builds, corpus, evaluation, messages, reviews, tasks
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = corpus.QUERIES | messages.QUERIES | tasks.QUERIES | evaluation.QUERIES
-ORACLE_SQL: dict[str, str] = corpus.ORACLE_SQL | messages.ORACLE_SQL | tasks.ORACLE_SQL | evaluation.ORACLE_SQL
+MODULES = (corpus, messages, tasks, evaluation, builds, reviews)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: query for m in MODULES for name, query in m.QUERIES.items()}
+ORACLE_SQL: dict[str, str] = {name: sql for m in MODULES for name, sql in m.ORACLE_SQL.items()}
