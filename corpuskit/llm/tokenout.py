@@ -1,13 +1,16 @@
 """Training-order token output.
 
-Token sequences get dense numbers in input order, and a keyed Feistel permutation with cycle-walking gives every
-number a global slot. Slots are cut into ranges, and each range is one shard: a file of records of fixed stride,
-written in slot order. A reader finds any slot by arithmetic, so it can resume at any step and read sequentially.
-
-Tokens are shuffled once, to their shards. Dense numbers need the count of sequences in each input partition, one
-number per partition; the second pass checks its own counts and a checksum of ids against the first, so a changed
-partitioning is an error and never a wrong slot. Shards are written under a temporary name and renamed: a repeated
-or lost task leaves no half-written file.
+Every token sequence gets a number, a keyed Feistel permutation with cycle-walking scatters the numbers, and the
+sequences stand in the order of the result: their ranks are the global slots. The permuted numbers are cut into
+ranges, and each range is one shard: a file of records of fixed stride, written in slot order. A reader finds any slot
+by the first slots of the shards and arithmetic, so it can resume at any step and read sequentially.
+
+Numbers follow the documents' keys (id, then text), not files or partitions, so the order is the same on every
+cluster. A document has as many numbers as sequences that its bytes allow at most, which is known without its tokens;
+numbers that stay unused leave no gap in the slots. So texts are tokenized once and tokens are shuffled once, to
+their shards. First numbers travel as one small file per input partition, with a hash of each text that is checked
+when it is read: a changed partitioning is an error and never a wrong slot. Shards are written under a temporary name
+and renamed: a repeated or lost task leaves no half-written file.
 """
 
 from __future__ import annotations
@@ -24,11 +27,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks_by_bytes, shared_dir, short_batches
+from .common import chunks_by_bytes, durable, partitions_of, shared_dir, short_batches
 from .tokens import DEFAULT_RANKS, encoding, end_of_text
 
 BLOCK = 2_000_000
 ROUNDS = 4
+#: Bits of ``monotonically_increasing_id`` that count the rows of a partition.
+ROW_BITS = 33
 
 
 # ---------------------------------------------------------------- permutation
@@ -77,22 +82,30 @@ def shard_path(folder: str, shard: int) -> str:
 
 
 def read_manifest(uri: str) -> dict:
-    """The manifest of a written folder: sequences, stride, tokens per sequence, records per shard, key."""
+    """The manifest of a written folder: sequences, stride, tokens per sequence, shards, key."""
     fs, folder = filesystem(uri)
     with fs.open_input_stream(f"{folder}/manifest.json") as f:
         return json.loads(f.read())
 
 
+def first_slots(uri: str) -> np.ndarray:
+    """The first slot of each shard of a written folder, and the number of slots at the end."""
+    fs, folder = filesystem(uri)
+    with fs.open_input_stream(f"{folder}/first_slots.bin") as f:
+        return np.frombuffer(f.read(), "<i8")
+
+
 def read_slots(uri: str, start: int = 0, stop: int | None = None) -> Iterator[np.ndarray]:
     """Token records of the slots ``start .. stop - 1`` in order, from the shards of a written folder."""
-    about = read_manifest(uri)
+    about, first = read_manifest(uri), first_slots(uri)
     fs, folder = filesystem(uri)
     stop = about["sequences"] if stop is None else min(stop, about["sequences"])
-    per, stride = about["per_shard"], about["stride"]
+    stride = about["stride"]
     while start < stop:
-        shard, end = start // per, min(stop, (start // per + 1) * per)
+        shard = int(np.searchsorted(first, start, side="right")) - 1
+        end = min(stop, int(first[shard + 1]))
         with fs.open_input_file(shard_path(folder, shard)) as f:
-            f.seek((start - shard * per) * stride)
+            f.seek((start - int(first[shard])) * stride)
             data = np.frombuffer(f.read((end - start) * stride), "<u2").reshape(-1, about["length"])
         yield from data
         start = end
@@ -101,11 +114,52 @@ def read_slots(uri: str, start: int = 0, stop: int | None = None) -> Iterator[np
 # ---------------------------------------------------------------- operator
 
 
-def _sequences(batches: Iterable[pa.RecordBatch], ranks: str, length: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
-    """Each chunk of documents with the tokens of each, end token included."""
-    enc, end = encoding(ranks), end_of_text(ranks)
-    for part in chunks_by_bytes(batches, "__text", BLOCK):
-        yield part, [np.array(enc.encode_ordinary(t) + [end], "<u2") for t in part.column("__text").to_pylist()]
+def number_rows(rows: DataFrame, length: int, folder_uri: str) -> int:
+    """Write the first number of each row's sequences to one file per partition of ``rows``; returns how many numbers there are.
+
+    ``rows`` has ``__id``, ``__text`` and ``__hash``. Rows go by id and text; equal rows have sequences that nothing tells apart.
+    """
+    spark = rows.sparkSession
+    most = F.floor(F.octet_length("__text") / length).cast("bigint") + 1  # a token has a byte at least, and the end token is one
+    keyed = rows.select("__id", "__hash", F.xxhash64(F.lit(7), "__text").alias("h2"), most.alias("most"), F.monotonically_increasing_id().alias("row"))
+    order = ["__id", "__hash", "h2", "row"]
+    keyed = durable(keyed.repartitionByRange(partitions_of(spark), *order).sortWithinPartitions(*order).select("__hash", "most", "row"))
+    sums = dict(sorted(tuple(r) for r in keyed.groupBy(F.spark_partition_id().alias("p")).agg(F.sum("most")).collect()))
+    begin = dict(zip(sums, np.cumsum([0, *sums.values()])[:-1].tolist(), strict=True))
+
+    def first(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = begin.get(TaskContext.get().partitionId(), 0)
+        for batch in batches:
+            if batch.num_rows:
+                most_ = batch.column(1).to_numpy()
+                yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(at + np.cumsum(most_) - most_), batch.column(0)], ["row", "first", "hash"])
+                at += int(most_.sum())
+
+    def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, folder = filesystem(folder_uri)
+        out, part = None, -1
+        for batch in batches:
+            parts = batch.column(0).to_numpy() >> ROW_BITS
+            for cut in np.split(np.arange(len(parts)), np.flatnonzero(parts[1:] != parts[:-1]) + 1):
+                if not len(cut):
+                    continue
+                if parts[cut[0]] != part:
+                    if out is not None:
+                        out.close()
+                        fs.move(name, f"{folder}/numbers-{part}.bin")
+                    part = int(parts[cut[0]])
+                    name = f"{folder}/.numbers-{part}-{uuid.uuid4().hex}"
+                    out = fs.open_output_stream(name)
+                out.write(np.stack([batch.column(i).to_numpy()[cut] for i in (1, 2)], axis=1).astype("<i8").tobytes())
+        if out is not None:
+            out.close()
+            fs.move(name, f"{folder}/numbers-{part}.bin")
+        yield pa.RecordBatch.from_arrays([pa.array([], pa.int64())], ["done"])
+
+    numbered = keyed.mapInArrow(first, "row bigint, first bigint, hash bigint")
+    numbered = numbered.withColumn("part", F.shiftright("row", ROW_BITS)).repartition(partitions_of(spark), "part").sortWithinPartitions("row").select("row", "first", "hash")
+    numbered.mapInArrow(write, "done bigint").count()
+    return sum(sums.values())
 
 
 def write_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 256, key: int = 2024, shard_bytes: int = 16 << 20, ranks: str = DEFAULT_RANKS, out_dir: str | None = None) -> DataFrame:
@@ -115,93 +169,104 @@ def write_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ``record_crc32``, the checksum of the stored record as read back from its file. A document's tokens and an end
     token are cut into sequences of ``length``; the last is padded with end tokens. Null and empty texts are one
     sequence with the end token alone; repeated rows are stored as often as they occur; an empty table gives no
-    row and a manifest of no sequences. Token ids take 16 bits, so the vocabulary must have fewer than 65,536.
+    row and a manifest of no sequences. Token ids take 16 bits, so the vocabulary must have fewer than 65,536. A
+    shard has at most ``shard_bytes``; slots depend on ids, texts, ``length`` and ``key`` alone. Other columns are not read.
 
     ``docs`` must keep its partitioning between two passes, as file scans and checkpointed tables do. Files are
-    written when the result is evaluated, to ``out_dir`` (a new folder in the shared checkpoint folder by default).
+    written at once, to ``out_dir`` (a new folder in the shared checkpoint folder by default).
     """
     if end_of_text(ranks) > 0xFFFF:
         raise ValueError("token ids must fit 16 bits")
     spark = docs.sparkSession
     short_batches(spark)
-    rows = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("__id"), text.alias("__text"), F.xxhash64(text).alias("__hash"))
     kind = rows.schema["__id"].dataType.simpleString()
-
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, sum_ = 0, 0
-        for part, tokens in _sequences(batches, ranks, length):
-            n += sum(-(-len(t) // length) for t in tokens)
-            sum_ = zlib.crc32(repr(part.column("__id").to_pylist()).encode(), sum_)
-        if n:
-            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([n], pa.int64()), pa.array([sum_], pa.int64())], ["part", "n", "ids"])
-
-    parts = sorted(tuple(r) for r in rows.mapInArrow(count, "part bigint, n bigint, ids bigint").collect())
-    starts = dict(zip((p[0] for p in parts), np.concatenate(([0], np.cumsum([p[1] for p in parts])[:-1])).tolist() if parts else [], strict=True))
-    expected = {p[0]: p[1:] for p in parts}
-    total = sum(p[1] for p in parts)
+    out_uri = out_dir or f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    fs, folder = filesystem(out_uri)
+    fs.create_dir(folder, recursive=True)
+    numbers = number_rows(rows, length, out_uri)
     stride = 2 * length
     per_shard = max(1, shard_bytes // stride)
-    out_uri = out_dir or f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
-    known = spark.sparkContext.broadcast((starts, expected))
+    shards = -(-numbers // per_shard)
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part_id = TaskContext.get().partitionId()
-        first, (n, ids) = known.value[0].get(part_id, 0), known.value[1].get(part_id, (0, 0))
-        at, sum_ = 0, 0
-        for part, tokens in _sequences(batches, ranks, length):
-            sum_ = zlib.crc32(repr(part.column("__id").to_pylist()).encode(), sum_)
-            pieces = [-(-len(t) // length) for t in tokens]
+        fs, folder = filesystem(out_uri)
+        known, at = None, 0
+        enc, end = encoding(ranks), end_of_text(ranks)
+        for part in chunks_by_bytes(batches, "__text", BLOCK):
+            if known is None:
+                with fs.open_input_stream(f"{folder}/numbers-{TaskContext.get().partitionId()}.bin") as f:
+                    known = np.frombuffer(f.read(), "<i8").reshape(-1, 2)
+            if not np.array_equal(known[at : at + part.num_rows, 1], part.column("__hash").to_numpy()):
+                raise RuntimeError("the input's partitioning changed between the two passes; checkpoint it first")
+            tokens = [np.array(enc.encode_ordinary(t) + [end], "<u2") for t in part.column("__text").to_pylist()]
+            size = np.array([len(t) for t in tokens])
+            pieces = -(-size // length)
             row = np.repeat(np.arange(len(pieces)), pieces)
-            seq = np.concatenate([np.arange(p) for p in pieces])
-            slot = feistel(np.arange(first + at, first + at + len(row)), total, key)
-            at += len(row)
-            stored = [t[s : s + length].tobytes() for t in tokens for s in range(0, len(t), length)]
-            yield pa.RecordBatch.from_arrays([part.column("__id").take(pa.array(row)), pa.array(seq), pa.array(slot), pa.array((slot // per_shard).astype(np.int32)), pa.array(stored, pa.binary())], ["__id", "seq", "slot", "shard", "ids"])
-        if at and (at, sum_) != (n, ids):
-            raise RuntimeError("the input's partitioning changed between the two passes; checkpoint it first")
+            seq = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            permuted = feistel(known[at + row, 0] + seq, numbers, key)
+            at += part.num_rows
+            # All sequences but the last of a document are full, so their ends follow from the sizes.
+            ends = np.minimum((seq + 1) * length, size[row]) + np.repeat(np.cumsum(size) - size, pieces)
+            ids = pa.BinaryArray.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(np.append(0, 2 * ends).astype("<i4").tobytes()), pa.py_buffer(np.concatenate(tokens).tobytes())])
+            yield pa.RecordBatch.from_arrays([part.column("__id").take(pa.array(row)), pa.array(seq), pa.array(permuted), pa.array((permuted // per_shard).astype(np.int32)), ids], ["__id", "seq", "permuted", "shard", "ids"])
 
     def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, folder = filesystem(out_uri)
-        fill = np.full(length, end_of_text(ranks), "<u2").tobytes()
-        told: list[tuple] = []
+        end = end_of_text(ranks)
+        told: list[pa.RecordBatch] = []
         out = name = shard = None
 
         def closed() -> Iterator[pa.RecordBatch]:
             out.close()
             fs.move(name, shard_path(folder, shard))
+            place_ = 0
             with fs.open_input_stream(shard_path(folder, shard)) as f:
-                for i in range(0, len(told), 20_000):
-                    rows_ = told[i : i + 20_000]
-                    data = f.read(len(rows_) * stride)
-                    crc = [zlib.crc32(data[k * stride : (k + 1) * stride]) for k in range(len(rows_))]
-                    ids_, seq, tokens, slot = zip(*rows_, strict=True)
-                    slot = np.array(slot)
-                    yield pa.RecordBatch.from_arrays([pa.array(ids_, kind_), pa.array(seq, pa.int64()), pa.array(tokens, pa.int64()), pa.array(slot), pa.array(slot // per_shard), pa.array(slot % per_shard * stride), pa.array(crc, pa.int64())], names)
-
-        kind_ = None
+                for b in told:
+                    data = memoryview(f.read(b.num_rows * stride))
+                    crc = [zlib.crc32(data[k : k + stride]) for k in range(0, len(data), stride)]
+                    yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(b.num_rows, shard, np.int64)), pa.array(np.arange(place_, place_ + b.num_rows)), pa.array(crc, pa.int64())], names)
+                    place_ += b.num_rows
+
         for batch in batches:
-            kind_ = batch.column(0).type
-            for id_, seq, slot, shard_, ids in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                if shard_ != shard:
+            of = batch.column(3).to_numpy()
+            for cut in np.split(np.arange(len(of)), np.flatnonzero(of[1:] != of[:-1]) + 1):
+                if not len(cut):
+                    continue
+                if of[cut[0]] != shard:
                     if out is not None:
                         yield from closed()
-                    told, shard = [], shard_
-                    fs.create_dir(folder, recursive=True)
+                    told, shard = [], int(of[cut[0]])
                     name = f"{folder}/.{shard:06d}-{uuid.uuid4().hex}"
                     out = fs.open_output_stream(name)
-                if slot != shard * per_shard + len(told):
-                    raise RuntimeError("slots of a shard are not dense")
-                out.write(ids + fill[len(ids) :])
-                told.append((id_, seq, len(ids) // 2, slot))
+                piece = batch.slice(int(cut[0]), len(cut))
+                ids = piece.column(4)
+                ends = np.frombuffer(ids.buffers()[1], "<i4")[ids.offset : ids.offset + len(ids) + 1].astype(np.int64) // 2
+                size = np.diff(ends)
+                records = np.full((len(ids), length), end, "<u2")
+                data = np.frombuffer(ids.buffers()[2], "<u2")[ends[0] : ends[-1]]
+                records[np.arange(length) < size[:, None]] = data
+                out.write(records.tobytes())
+                told.append(pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), pa.array(size)], ["__id", "seq", "n_tokens"]))
         if out is not None:
             yield from closed()
 
-    names = ["__id", "seq", "n_tokens", "slot", "shard", "byte_offset", "record_crc32"]
-    fs, folder = filesystem(out_uri)
-    fs.create_dir(folder, recursive=True)
+    names = ["__id", "seq", "n_tokens", "shard", "place", "record_crc32"]
+    placed = rows.mapInArrow(place, f"__id {kind}, seq bigint, permuted bigint, shard int, ids binary")
+    dealt = placed.repartitionById(max(1, shards), "shard").sortWithinPartitions("permuted")
+    made = durable(dealt.mapInArrow(write, f"__id {kind}, seq bigint, n_tokens bigint, shard bigint, place bigint, record_crc32 bigint"))
+    counts = np.zeros(shards + 1, np.int64)
+    for r in made.groupBy("shard").agg(F.count("*").alias("n")).collect():
+        counts[r["shard"] + 1] = r["n"]
+    first = np.cumsum(counts)
+    with fs.open_output_stream(f"{folder}/first_slots.bin") as f:
+        f.write(first.astype("<i8").tobytes())
     with fs.open_output_stream(f"{folder}/manifest.json") as f:
-        f.write(json.dumps({"sequences": total, "length": length, "stride": stride, "per_shard": per_shard, "shards": -(-total // per_shard), "key": key, "dtype": "<u2"}).encode())
-    placed = rows.mapInArrow(place, f"__id {kind}, seq bigint, slot bigint, shard int, ids binary")
-    dealt = placed.repartitionById(max(1, -(-total // per_shard)), "shard").sortWithinPartitions("slot")
-    made = dealt.mapInArrow(write, f"__id {kind}, seq bigint, n_tokens bigint, slot bigint, shard bigint, byte_offset bigint, record_crc32 bigint")
-    return made.withColumnRenamed("__id", id_col)
+        f.write(json.dumps({"sequences": int(first[-1]), "length": length, "stride": stride, "shards": shards, "shard_bytes": per_shard * stride, "key": key, "dtype": "<u2"}).encode())
+    begin = spark.createDataFrame(pa.table({"__shard": pa.array(np.arange(shards)), "__first": pa.array(first[:-1])})).select("*") if shards else None
+    if begin is None:
+        return made.select(F.col("__id").alias(id_col), "seq", "n_tokens", F.lit(0).cast("bigint").alias("slot"), "shard", F.col("place").alias("byte_offset"), "record_crc32")
+    return made.join(begin, F.col("shard") == F.col("__shard")).select(
+        F.col("__id").alias(id_col), "seq", "n_tokens", (F.col("__first") + F.col("place")).alias("slot"), "shard", (F.col("place") * stride).alias("byte_offset"), "record_crc32"
+    )
