@@ -57,6 +57,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shielded(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns under names that no operator makes, and the new name of each old one."""
+    names = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    return df.toDF(*names.values()), names
+
+
+def unshielded(names: dict[str, str], made: Iterable[str] = ()) -> list[Column]:
+    """The columns of a shielded table under their old names, without those of the ``made`` names."""
+    return [F.col(new).alias(old) for old, new in names.items() if old not in set(made)]
+
+
 def text_bytes(name: str = "text") -> Column:
     """A text column as UTF-8 bytes; null is empty."""
     return F.coalesce(F.col(name), F.lit("")).cast("binary")

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks_by_bytes, durable, short_batches, text_bytes
+from .common import chunks_by_bytes, durable, shielded, short_batches, text_bytes, unshielded
 
 # Units of measure that count as one kind of slot.
 UNITS = """
@@ -182,14 +182,14 @@ def text_windows(rows: DataFrame, width: int, literals: int, short: Collection[i
     return rows.select("key", "text").mapInArrow(block, shape)
 
 
-def window_bitmap(hashes: DataFrame) -> np.ndarray:
-    """A bitmap of the column ``hash``; cells are merged on the executors, and at most 2 MB reach the driver at once."""
-    bytes_ = hashes.select(F.shiftrightunsigned("hash", 64 - BITMAP_BITS).alias("cell")).distinct()
-    bytes_ = bytes_.groupBy(F.shiftright("cell", 3).alias("at")).agg(F.bit_or(F.expr("shiftleft(1, cast(cell % 8 AS int))")).alias("bits"))
-    bitmap = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
-    for batch in bytes_.toArrow().to_batches():
-        bitmap[batch.column(0).to_numpy()] = batch.column(1).to_numpy().astype(np.uint8)
-    return bitmap
+def window_bitmap(hashes: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
+    """A bitmap of the top ``bits`` bits of the column ``hash``; cells are merged on the executors, 64 of them to a number that reaches the driver."""
+    cells = hashes.select(F.shiftrightunsigned("hash", 64 - bits).alias("cell"))
+    words = cells.groupBy(F.shiftright("cell", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(cell % 64 AS int))")).alias("bits"))
+    bitmap = np.zeros(1 << (bits - 6), np.uint64)
+    for batch in words.toArrow().to_batches():
+        bitmap[batch.column(0).to_numpy()] = batch.column(1).to_numpy().view(np.uint64)
+    return bitmap.view(np.uint8)
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, literals: int = 3, coverage: float = 0.8) -> DataFrame:
@@ -235,5 +235,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options: float) -> DataFrame:
     """``docs`` without the documents that leak a benchmark item (see ``find_leaks``); a null id is kept."""
-    leaks = find_leaks(docs, benchmark, id_col, **options).select(F.col(id_col).alias("__leak")).where(F.col("__leak").isNotNull()).distinct()
-    return docs.join(leaks, F.col(id_col) == F.col("__leak"), "left_anti")
+    leaks = find_leaks(docs, benchmark, id_col, **options).select(F.col(id_col).alias("leak")).where("leak is not null").distinct()
+    rows, names = shielded(docs)
+    return rows.join(leaks, F.col(names[id_col]) == F.col("leak"), "left_anti").select(*unshielded(names))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, shielded
 
 #: ASCII white space that is stripped from both ends of a line.
 WHITE = " \t\n\x0b\f\r"
@@ -41,11 +41,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A key of ``min_chars`` code points or more that ``min_docs`` different documents hold loses all its lines but
     those in the document with the largest id. Null and empty texts are one empty line. A null id is no document
     of its own: it counts for no line and its lines follow the decision made on the others. Repeated rows (same
-    id, same text) each lose the same lines. Further columns pass through; names with a leading ``__`` are used
-    inside and must not occur in ``docs``.
+    id, same text) each lose the same lines. Further columns pass through, whatever their names; ``n_lines`` and
+    ``n_dropped`` replace columns of these names.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    row_key = [F.col(id_col).alias("__id"), F.xxhash64(text).alias("__t1"), F.xxhash64(F.lit(7), text).alias("__t2")]
+    docs, names = shielded(docs)
+    text = F.coalesce(F.col(names[text_col]), F.lit(""))
+    row_key = [F.col(names[id_col]).alias("__id"), F.xxhash64(text).alias("__t1"), F.xxhash64(F.lit(7), text).alias("__t2")]
     lines = (
         docs.select(*row_key, F.posexplode(F.split(text, "\n", -1)).alias("__pos", "__line"))
         .withColumn("__key", stripped(F.col("__line")))
@@ -68,12 +69,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept = F.array_except(F.sequence(F.lit(0), F.size(split) - 1), F.col("__lost"))
     # The one-element array binds the split lines to a variable, so they are not split again for every position.
     whole = F.transform(F.array(F.struct(split.alias("l"), kept.alias("k"))), lambda s: F.array_join(F.transform(s["k"], lambda i: F.get(s["l"], i)), "\n"))[0]
-    return (
-        own.join(lost, same, "left")
-        .withColumns({
-            "n_lines": F.size(split).cast("long"),
-            "n_dropped": F.coalesce(F.size(F.array_distinct("__lost")), F.lit(0)).cast("long"),
-            text_col: F.when(F.col("__lost").isNull(), F.col(text_col)).otherwise(whole),
-        })
-        .drop("__id", "__t1", "__t2", "__lost_id", "__lost_t1", "__lost_t2", "__lost")
-    )
+    made = {
+        "n_lines": F.size(split).cast("long"), "n_dropped": F.coalesce(F.size(F.array_distinct("__lost")), F.lit(0)).cast("long"),
+        text_col: F.when(F.col("__lost").isNull(), F.col(names[text_col])).otherwise(whole),
+    }
+    columns = {c: made.get(c, F.col(new)) for c, new in names.items()} | made
+    return own.join(lost, same, "left").select(*(v.alias(c) for c, v in columns.items()))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks_by_bytes, short_batches
+from .common import chunks_by_bytes, shielded, short_batches, unshielded
 
 #: Most group rows that are broadcast to the documents; more are joined by shuffle.
 BROADCAST_GROUPS = 200_000
@@ -90,8 +90,8 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 2.0, rounds: int =
     return w
 
 
-def fit_classifier(labelled: DataFrame, text_col: str = "text", label_col: str = "good", max_train: int = 12_000, max_words: int = 1000, min_docs: int = 8) -> Classifier:
-    """Fit on ``labelled``, which holds at most ``max_train`` rows (see ``labelled_sample``).
+def fit_classifier(labelled: DataFrame, text_col: str = "text", label_col: str = "good", max_words: int = 1000, min_docs: int = 8) -> Classifier:
+    """Fit on ``labelled``, a bounded table (see ``labelled_sample``).
 
     ``max_words`` words that ``min_docs`` rows or more hold, with the largest label association, become features.
     Null labels are left out, null texts are empty. With one class only, or no rows, all evidence is the smoothed
@@ -104,7 +104,7 @@ def fit_classifier(labelled: DataFrame, text_col: str = "text", label_col: str =
             found = [describe(t) for t in part.column("t").to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column("y"), pa.array([x[0] for x in found], pa.list_(pa.float64())), pa.array([sorted(x[1]) for x in found], pa.list_(pa.binary()))], ["y", "shape", "words"])
 
-    rows = labelled.where(F.col(label_col).isNotNull()).select(F.col(label_col).cast("int").alias("y"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t")).limit(max_train)
+    rows = labelled.where(F.col(label_col).isNotNull()).select(F.col(label_col).cast("int").alias("y"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("t"))
     described = rows.mapInArrow(block, "y int, shape array<double>, words array<binary>").persist()
     try:
         n, good = described.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
@@ -141,15 +141,18 @@ def fit_classifier(labelled: DataFrame, text_col: str = "text", label_col: str =
     return Classifier(float(w[-1]), words, *(tuple(map(float, a)) for a in (w[: len(SHAPES)], mean, scale)))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", max_train: int = 12_000) -> DataFrame:
-    """At most ``max_train`` labelled documents, in hash order; good means quality 1 and not toxic.
+def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_train: int = 12_000) -> DataFrame:
+    """``(text, good)`` of at most ``max_train`` labelled documents, in hash order; good means quality 1 and not toxic.
 
-    The bounded sample of labels is what is broadcast; texts are not shuffled. Null labels count as not good.
+    The bounded sample of labels is what is broadcast; texts are not shuffled, but for those of the sample. Null labels
+    count as not good; of rows that share an id one counts.
     """
     good = (F.coalesce("quality", F.lit(0)) == 1) & (F.coalesce("toxic", F.lit(1)) == 0)
-    some = labels.select(F.col("doc_id").alias("__id"), good.cast("int").alias("good")).where(F.col("__id").isNotNull())
-    some = some.orderBy(F.xxhash64("__id"), "__id", "good").limit(max_train)
-    return docs.join(F.broadcast(some), F.col(id_col) == F.col("__id")).drop("__id")
+    some = labels.select(F.col("doc_id").alias("labelled"), good.cast("int").alias("good")).where("labelled is not null")
+    some = some.groupBy("labelled").agg(F.min("good").alias("good")).orderBy(F.xxhash64("labelled"), "labelled").limit(max_train)
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    met = own.join(F.broadcast(some), F.col("id") == F.col("labelled"))
+    return met.groupBy("id").agg(F.min("text").alias(text_col), F.min("good").alias("good")).drop("id")
 
 
 def with_evidence(docs: DataFrame, model: Classifier, text_col: str = "text", name: str = "evidence") -> DataFrame:
@@ -202,8 +205,9 @@ def score(docs: DataFrame, model: Classifier, host_col: str = "source", path_col
     """
     spark = docs.sparkSession
     made = ["evidence", "host_rate", "path_rate", "quality_score", "keep"]
-    base = docs.drop(*[c for c in docs.columns if c in made])
-    scored = with_evidence(base, model, text_col)
+    base, names = shielded(docs)
+    host_col, path_col = names[host_col], names[path_col]
+    scored = with_evidence(base, model, names[text_col])
     p = probability(F.col("evidence"))
     paths = scored.select(F.col(host_col).alias("__h"), F.col(path_col).alias("__p"), p.alias("p")).groupBy("__h", "__p").agg(F.count("*").alias("n"), F.sum("p").alias("k")).persist()
     try:
@@ -226,4 +230,4 @@ def score(docs: DataFrame, model: Classifier, host_col: str = "source", path_col
     path = (F.col("__k") - p + m_path * host) / (F.col("__n") - 1 + m_path)
     joined = scored.join(groups, F.col(host_col).eqNullSafe(F.col("__h")) & F.col(path_col).eqNullSafe(F.col("__p")), "left")
     total = F.col("evidence") + log_odds(path) - math.log(rate / (1 - rate))
-    return joined.withColumn("quality_score", probability(total)).withColumn("keep", F.col("quality_score") >= keep_from).select(*base.columns, *made)
+    return joined.withColumn("quality_score", probability(total)).withColumn("keep", F.col("quality_score") >= keep_from).select(*unshielded(names, made), *made)

@@ -2,25 +2,27 @@
 
 Trees are fitted by second-order boosting on a bounded, labelled sample: each level of a tree is one grouped
 aggregation of gradients by (node, feature, bin), of which only sums come to the driver. Scoring is a column
-expression of nested conditions, so a table of any size is filtered in its scan, without shuffle.
+expression of nested conditions; only the table of suffix statistics, one row per suffix, is joined to the pages.
 """
 
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import durable, shielded, unshielded
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Characters whose frequencies make up the entropy feature.
 ALPHABET = LOWER + "0123456789-._~/%?&=+"
 FEATURES = ("length", "host_length", "path_length", "depth", "digit_ratio", "entropy", "parameters", "labels", "hyphens", "suffix_rate", "suffix_share")
 #: Most rules of a filter; they become conditions of one expression.
 MAX_RULES = 500
-#: Most suffixes with statistics of their own; others share the global rate.
-MAX_SUFFIXES = 64
+#: Parts of the sample: the suffix rates of one come from the others, so that no url speaks for itself.
+FOLDS = 4
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -83,12 +85,15 @@ class Tree:
 
 @dataclass(frozen=True)
 class UrlModel:
-    """Boosted trees with the suffix statistics that two of their features use."""
+    """Boosted trees with the suffix statistics that two of their features use.
+
+    ``suffixes`` has one row per suffix: ``suffix``, ``share`` (of all pages) and ``rate`` (of bad urls in the sample,
+    shrunk to ``usual_rate``; null where the sample has none). It may be of any size. None means that all are unknown.
+    """
 
     bias: float
     trees: tuple[Tree, ...]
-    suffix_rates: dict[str, float] = field(default_factory=dict)
-    suffix_shares: dict[str, float] = field(default_factory=dict)
+    suffixes: DataFrame | None = None
     usual_rate: float = 0.5
 
     def margin(self) -> Column:
@@ -101,15 +106,13 @@ def suffix_of(host: Column) -> Column:
     return F.substring_index(host, ".", -1)
 
 
-def _by_suffix(suffix: Column, values: dict[str, float], other: float) -> Column:
-    out = F.lit(other)
-    for name, value in sorted(values.items()):
-        out = F.when(suffix == name, value).otherwise(out)
-    return out
+def shrunk(k: Column, n: Column, usual: float) -> Column:
+    """The rate of ``k`` in ``n``, as if 20 more had the usual one."""
+    return (k + 20 * usual) / (n + 20)
 
 
-def with_features(df: DataFrame, url: Column, host: Column, path: Column, rates: dict[str, float], shares: dict[str, float], usual: float) -> DataFrame:
-    """``df`` with a column ``__<name>`` for each of ``FEATURES``; null urls count as empty."""
+def with_features(df: DataFrame, url: Column, host: Column, path: Column) -> DataFrame:
+    """``df`` with a column ``__<name>`` for each of ``FEATURES`` but those of the suffix, and ``__suffix``; null urls count as empty."""
     url = F.coalesce(url, F.lit(""))
     many = lambda text, ch: (F.char_length(text) - F.char_length(F.replace(text, F.lit(ch), F.lit("")))).cast("double")
     df = df.withColumns({"__url": F.lower(url), "__host": host, "__path": path})
@@ -123,46 +126,52 @@ def with_features(df: DataFrame, url: Column, host: Column, path: Column, rates:
         "__digit_ratio": sum(digits[1:], digits[0]),
         "__entropy": sum((F.when(s > 0, -s * F.log2(s)).otherwise(0.0) for s in shares_of[1:]), F.when(shares_of[0] > 0, -shares_of[0] * F.log2(shares_of[0])).otherwise(0.0)),
         "__parameters": many(u, "&") + many(u, "="), "__labels": many(h, "."), "__hyphens": many(h, "-"),
-        "__suffix_rate": _by_suffix(suffix_of(h), rates, usual), "__suffix_share": _by_suffix(suffix_of(h), shares, 0.0),
+        "__suffix": suffix_of(h),
     })
 
 
-def fit_urls(labelled: DataFrame, url_col: str = "url", label_col: str = "bad", max_train: int = 20_000, rounds: int = 12, depth: int = 2, bins: int = 16, rate: float = 0.3, ridge: float = 5.0) -> UrlModel:
+def with_suffixes(df: DataFrame, model: UrlModel) -> DataFrame:
+    """``df`` with ``__suffix_rate`` and ``__suffix_share`` of its ``__suffix``; unknown ones have the usual rate and no share."""
+    if model.suffixes is None:
+        return df.withColumns({"__suffix_rate": F.lit(model.usual_rate), "__suffix_share": F.lit(0.0)})
+    met = df.join(model.suffixes, F.col("__suffix") == F.col("suffix"), "left")
+    return met.withColumns({"__suffix_rate": F.coalesce("rate", F.lit(model.usual_rate)), "__suffix_share": F.coalesce("share", F.lit(0.0))}).drop("suffix", "rate", "share")
+
+
+def fit_urls(labelled: DataFrame, pages: DataFrame | None = None, url_col: str = "url", label_col: str = "bad", max_train: int = 20_000, rounds: int = 12, depth: int = 2, bins: int = 16, rate: float = 0.3, ridge: float = 5.0) -> UrlModel:
     """Boosted trees for labelled urls (1 is to be blocked), fitted on at most ``max_train`` rows in hash order.
 
-    Null labels are left out, null urls are empty. Without rows, or with one class, the model is the smoothed log
-    odds alone. A split needs a positive gain; leaves shrink by ``ridge``.
+    Suffixes are counted over all of ``pages`` (the labelled urls without); their rates come from the sample, and for
+    the fit itself from the other folds of it. Null labels are left out, null urls are empty. Without rows, or with one
+    class, the model is the smoothed log odds alone. A split needs a positive gain; leaves shrink by ``ridge``.
     """
-    host, path = url_parts(F.col(url_col))
     some = labelled.where(F.col(label_col).isNotNull()).select(F.col(url_col).alias("url"), F.col(label_col).cast("double").alias("y"))
-    some = some.orderBy(F.xxhash64("url", "y"), "url").limit(max_train).withColumn("suffix", suffix_of(url_parts(F.col("url"))[0])).persist()
-    try:
-        n, bad = some.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0.0))).first()
-        bias = math.log((bad + 1) / (n - bad + 1))
-        if bad in (0, n):
-            return UrlModel(bias, (), usual_rate=(bad + 1) / (n + 2))
-        usual = bad / n
-        by = some.groupBy("suffix").agg(F.count("*").alias("n"), F.sum("y").alias("k")).orderBy(F.desc("n"), "suffix").limit(MAX_SUFFIXES).collect()
-        rates = {r["suffix"]: (r["k"] + 20 * usual) / (r["n"] + 20) for r in by}
-        shares = {r["suffix"]: r["n"] / n for r in by}
-        host, path = url_parts(F.col("url"))
-        described = with_features(some, F.col("url"), host, path, rates, shares, usual).select("y", *(f"__{f}" for f in FEATURES)).persist()
-        try:
-            at = [F.percentile_approx(f"__{f}", [k / bins for k in range(1, bins)], 1000).alias(f) for f in FEATURES]
-            cuts = {f: sorted(set(v)) for f, v in described.agg(*at).first().asDict().items()}
-            bin_of = lambda f: F.size(F.filter(F.array(*map(F.lit, cuts[f])), lambda c: c <= F.col(f"__{f}")))
-            binned = described.select("y", *(bin_of(f).alias(f"__{f}") for f in FEATURES)).persist()
-            trees: list[Tree] = []
-            try:
-                for _ in range(rounds):
-                    trees.append(_grow(binned, sum((t.binned() for t in trees), F.lit(bias)), cuts, depth, rate, ridge))
-            finally:
-                binned.unpersist()
-        finally:
-            described.unpersist()
-        return UrlModel(bias, tuple(trees), rates, shares, usual)
-    finally:
-        some.unpersist()
+    some = some.orderBy(F.xxhash64("url", "y"), "url").limit(max_train)
+    host, path = url_parts(F.col("url"))
+    some = durable(with_features(some, F.col("url"), host, path).withColumn("fold", F.pmod(F.xxhash64("url"), F.lit(FOLDS))))
+    n, bad = some.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0.0))).first()
+    bias = math.log((bad + 1) / (n - bad + 1))
+    if bad in (0, n):
+        return UrlModel(bias, (), usual_rate=(bad + 1) / (n + 2))
+    usual = bad / n
+    by_fold = durable(some.groupBy("__suffix", "fold").agg(F.count("*").alias("n"), F.sum("y").alias("k")))
+    rates = by_fold.groupBy("__suffix").agg(F.sum("n").alias("all_n"), F.sum("k").alias("all_k"))
+    counted = (labelled if pages is None else pages).select(suffix_of(url_parts(F.col(url_col))[0]).alias("suffix")).groupBy("suffix").agg(F.count("*").alias("n"))
+    total = max(1, counted.agg(F.sum("n")).first()[0] or 0)
+    shares = counted.select("suffix", (F.col("n") / total).alias("share"))
+    table = shares.join(rates, F.col("suffix") == F.col("__suffix"), "left").select("suffix", "share", shrunk(F.col("all_k"), F.col("all_n"), usual).alias("rate"))
+    others = by_fold.join(rates, "__suffix").select(F.col("__suffix").alias("of"), F.col("fold").alias("in"), shrunk(F.col("all_k") - F.col("k"), F.col("all_n") - F.col("n"), usual).alias("__suffix_rate"))
+    described = some.join(others, (F.col("__suffix") == F.col("of")) & (F.col("fold") == F.col("in"))).join(shares.withColumnsRenamed({"suffix": "s", "share": "__suffix_share"}), F.col("__suffix") == F.col("s"), "left")
+    described = durable(described.select("y", *(F.coalesce(f"__{f}", F.lit(0.0)).alias(f"__{f}") for f in FEATURES)))
+    at = [F.percentile_approx(f"__{f}", [k / bins for k in range(1, bins)], 1000).alias(f) for f in FEATURES]
+    cuts = {f: sorted(set(v)) for f, v in described.agg(*at).first().asDict().items()}
+    bin_of = lambda f: F.size(F.filter(F.array(*map(F.lit, cuts[f])), lambda c: c <= F.col(f"__{f}")))
+    data = durable(described.select("y", F.lit(bias).alias("margin"), *(bin_of(f).alias(f"__{f}") for f in FEATURES)))
+    trees: list[Tree] = []
+    for _ in range(rounds):  # the margin so far is a written column, so each tree's expression stands alone
+        trees.append(_grow(data, F.col("margin"), cuts, depth, rate, ridge))
+        data = durable(data.withColumn("margin", F.col("margin") + trees[-1].binned()))
+    return UrlModel(bias, tuple(trees), table, usual)
 
 
 def _grow(data: DataFrame, margin: Column, cuts: dict[str, list[float]], depth: int, rate: float, ridge: float) -> Tree:
@@ -220,14 +229,16 @@ def filter_urls(pages: DataFrame, model: UrlModel, rules: list[Rule], url_col: s
     columns replace columns of the same name; an empty table gives none.
     """
     made = ["host", "path", "rule", "block_score", "verdict"]
-    base = pages.drop(*[c for c in pages.columns if c in made and c != url_col])
-    host, path = url_parts(F.col(url_col))
-    rows = with_features(base, F.col(url_col), host, path, model.suffix_rates, model.suffix_shares, model.usual_rate)
+    base, names = shielded(pages)
+    url = F.col(names[url_col])
+    host, path = url_parts(url)
+    rows = with_suffixes(with_features(base, url, host, path), model)
     name, said = matching_rule(F.col("__host"), F.col("__path"), rules)
     score = 1 / (1 + F.exp(-model.margin()))
     rows = rows.withColumns({"__rule": name, "__said": said, "__score": score})
     verdict = F.coalesce("__said", F.when(F.col("__score") >= block_from, "block").otherwise("allow"))
-    return rows.select(*base.columns, F.col("__host").alias("host"), F.col("__path").alias("path"), F.col("__rule").alias("rule"), F.col("__score").alias("block_score"), verdict.alias("verdict"))
+    own = unshielded(names, [c for c in made if c != url_col])
+    return rows.select(*own, F.col("__host").alias("host"), F.col("__path").alias("path"), F.col("__rule").alias("rule"), F.col("__score").alias("block_score"), verdict.alias("verdict"))
 
 
 def labelled_pages(pages: DataFrame, labels: DataFrame) -> DataFrame:
