@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .decontam import find_leaks
-from .htmlcut import extract_main_text
+from .htmlcut import extract_main_text, fit_weights
 from .linededup import dedup_lines
 from .media import media_features, with_media
 from .packing import pack, token_counts
@@ -44,7 +44,7 @@ URL_RULES = [
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts for every page url: the longest fitting rule's, else the boosted trees'."""
     pages = table(spark, sf_dir, "pages")
-    model = fit_urls(labelled_pages(pages, table(spark, sf_dir, "labels")), max_train=20_000)
+    model = fit_urls(labelled_pages(pages, table(spark, sf_dir, "labels")), pages, max_train=20_000)
     return filter_urls(pages, model, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
@@ -66,7 +66,8 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
-    return extract_main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+    pages = table(spark, sf_dir, "pages")
+    return extract_main_text(pages, weights=fit_weights(pages, max_pages=500)).select("page_id", "url", "text", "n_chars")
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +93,16 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of the URL filter that SQL can say: host, path, and the longest rule that fits."""
+    return op3_url_filter(spark, sf_dir).select("page_id", "host", "path", "rule", F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("said"))
+
+
+def media_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of the media columns that SQL can say: sizes and the payload as read back from the stored bytes."""
+    return op4_media(spark, sf_dir).select("doc_id", "n_bytes", "payload_bytes", "payload_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_decontam": op2_decontam,
@@ -103,12 +114,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_output": op8_token_output,
     "op9_quality": op9_quality,
     "op10_line_dedup": op10_line_dedup,
+    "url_rules": url_rules,
+    "media_payload": media_payload,
 }
 
 WHITE_SQL = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 LOWER_SQL = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
 ORACLE_SQL: dict[str, str] = {
+    "url_rules": f"""
+        WITH u AS (SELECT page_id, CASE WHEN contains(coalesce(url, ''), '://') THEN url[strpos(url, '://') + 3:] ELSE '' END AS rest FROM pages),
+        p AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), {LOWER_SQL}) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+        r(said, h, q) AS (VALUES {", ".join(f"('{r.verdict}', '{r.host}', '{r.path}')" for r in URL_RULES)}),
+        m AS (SELECT page_id, h || q AS rule, said, row_number() OVER (PARTITION BY page_id ORDER BY length(h || q) DESC) AS k FROM p JOIN r ON (host = h OR suffix(host, '.' || h)) AND starts_with(path, q))
+        SELECT p.page_id, host, path, rule, said FROM p LEFT JOIN (SELECT * FROM m WHERE k = 1) m USING (page_id)
+    """,
+    "media_payload": """
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+        s AS (SELECT *, CASE WHEN n = 0 THEN 192 ELSE 191 - (n - 1) % 192 END AS pad FROM d)
+        SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(n + pad AS BIGINT) AS payload_bytes, sha256(t || repeat(' ', pad)) AS payload_sha256 FROM s
+    """,
     "op5_suffix_dedup": """
     WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
     w AS (SELECT doc_id, i, md5(b[i + 1:i + 200]) AS h FROM (SELECT doc_id, b, unnest(range(0, n - 199)) AS i FROM d WHERE n >= 200)),
