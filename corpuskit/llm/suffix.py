@@ -2,14 +2,16 @@
 
 A byte goes if a string of ``min_len`` bytes that covers it also starts anywhere else. Each window of ``min_len``
 bytes is dealt by its minimizer, the least hash among its grams: equal windows have equal minimizers, so they meet.
-A run of windows with one minimizer is a segment. Equal segments are counted behind a partial aggregation and go on
-as one segment with a weight, whatever the number of copies; segments whose minimizer occurs once are done. The
-rest, sorted by minimizer, form shards of bounded size. A shard's suffix array is built by induced sorting
-(classify suffixes, name leftmost-smaller substrings, recurse, induce), common prefixes are found in text order
-(permuted, irreducible ones by comparison), and windows that share ``min_len`` bytes add up their weights.
+A run of windows with one minimizer is a segment. Minimizers are counted first, and segments of those that occur once
+are done (a bitmap of fixed size keeps most of them out of the shuffles). Equal segments go on as one with a weight,
+whatever the number of copies; one that is alone with its minimizer is repeated as a whole or not at all. The rest,
+sorted by minimizer, form shards of bounded size. A shard's suffix array is built by induced sorting (classify
+suffixes, name leftmost-smaller substrings, recurse, induce), common prefixes are found in text order (permuted,
+irreducible ones by comparison), and windows that share ``min_len`` bytes add up their weights.
 
 A minimizer with more than ``CROWD`` different segments (a short passage that very many texts share in different
-surroundings) is not worked on in one shard: its segments are dealt again, by another hash, as texts of their own.
+surroundings) is not worked on in one shard: its segments are dealt again by longer grams, which reach into the
+surroundings, as texts of their own; at the last level each window is dealt by itself, so that nothing is crowded.
 """
 
 from __future__ import annotations
@@ -19,17 +21,20 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks_by_bytes, durable, partitions_of, release, short_batches, text_bytes
+from .common import chunks_by_bytes, durable, partitions_of, short_batches, text_bytes
+from .decontam import window_bitmap
 
-#: Bytes of the grams whose least hash deals a window.
+#: Bytes of the grams whose least hash deals a window, at the first level; at the last they are whole windows.
 GRAM = 64
 #: Bytes of segments in a shard, and different segments of a minimizer that one shard takes.
-SHARD, CROWD = 500_000, 1000
-#: How often crowded segments are dealt anew.
+SHARD, CROWD = 500_000, 250
+#: Bits of the bitmap of repeated minimizers (16 MB at any input size). It bears on cost only.
+MINIMIZER_BITS = 27
+#: Levels of dealing; the last cannot be crowded.
 LEVELS = 3
 #: Bytes of text that are cut at once; longer texts are cut in overlapping pieces.
 BLOCK = 1_000_000
@@ -208,27 +213,43 @@ def repeated_windows(segments: list[bytes], windows: np.ndarray, weight: np.ndar
 # ---------------------------------------------------------------- dealing windows
 
 
-def cut(texts: list[bytes], min_len: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Segments of short texts: the text's number, the offset in it, windows, minimizer hash and content hash."""
-    gram = min(GRAM, min_len)
+def gram_of(level: int, min_len: int) -> int:
+    """Bytes of the grams of a level."""
+    first = min(GRAM, min_len)
+    return first + (min_len - first) * level // (LEVELS - 1)
+
+
+def gram_hashes(data: bytes, gram: int, seed: int) -> np.ndarray:
+    """A hash of the ``gram`` bytes (8 or more) from every place on; those of twice the length come from two halves."""
+    raw = np.frombuffer(data + bytes(8), np.uint8)
+    h = np.ndarray((len(data) - 7,), "<u8", raw, strides=(1,)) ^ np.uint64((seed + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
+    width = 8
+
+    def joined(step: int) -> np.ndarray:
+        out = h[: len(h) - step] * np.uint64(0xBF58476D1CE4E5B9)
+        out ^= out >> np.uint64(29)
+        out += h[step:]
+        out *= np.uint64(0x94D049BB133111EB)
+        out ^= out >> np.uint64(32)
+        return out
+
+    with np.errstate(over="ignore"):
+        while width * 2 <= gram:
+            h, width = joined(width), width * 2
+        h = joined(gram - width) if gram > width or gram == 8 else h
+    return h
+
+
+def cut(texts: list[bytes], min_len: int, gram: int, seed: int) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All bytes, and the segments of short texts: their places, windows and minimizer hashes, the texts' numbers, and the offsets in them."""
     span = min_len - gram + 1
     data = b"".join(texts)
-    n = len(data) - gram + 1
-    none = (np.empty(0, np.int64),) * 5
     if len(data) < min_len:
-        return none
-    raw = np.frombuffer(data + bytes(8), np.uint8)
-    words = np.ndarray((len(data) + 1,), "<u8", raw, strides=(1,))
-    with np.errstate(over="ignore"):
-        h = np.full(n, np.uint64(seed * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF))
-        for k in [*range(0, gram - 7, 8), *([gram - 8] if gram % 8 and gram > 8 else [])]:
-            h = (h ^ words[k : k + n]) * np.uint64(0xBF58476D1CE4E5B9)
-            h ^= h >> np.uint64(29)
-        h *= np.uint64(0x94D049BB133111EB)
-        h ^= h >> np.uint64(32)
+        return (data, *(np.empty(0, np.int64) for _ in range(5)))
+    h = gram_hashes(data, gram, seed)
     # The place in the low bits breaks ties alike in all equal windows: the last of equal grams wins.
     low = np.uint64((1 << PLACE) - 1)
-    least = (h & ~low) | (low - np.arange(n, dtype=np.uint64))
+    least = (h & ~low) | (low - np.arange(len(h), dtype=np.uint64))
     width = 1
     while width * 2 <= span:
         least = np.minimum(least[:-width], least[width:])
@@ -248,43 +269,85 @@ def cut(texts: list[bytes], min_len: int, seed: int) -> tuple[np.ndarray, np.nda
     begin = np.flatnonzero(new & valid)
     stops = np.append(np.flatnonzero(new | ~valid), len(least))
     windows = stops[np.searchsorted(stops, begin) + 1] - begin
-    place = (low - (least[begin] & low)).astype(np.int64)
-    view, digest = memoryview(data), xxhash.xxh3_64_intdigest
-    content = np.array([digest(view[a:b], seed) for a, b in zip(begin.tolist(), (begin + windows + min_len - 1).tolist(), strict=True)], np.uint64)
-    owner = np.searchsorted(offset, begin, side="right") - 1
+    hv = h[(low - (least[begin] & low)).astype(np.int64)].view(np.int64)
     # Empty texts share an offset with the next; the last of them is the one that holds bytes.
-    return owner, begin - offset[owner], windows, h[place].view(np.int64), content.view(np.int64)
+    owner = np.searchsorted(offset, begin, side="right") - 1
+    return data, begin, windows, hv, owner, begin - offset[owner]
+
+
+def pieces_of(batches: Iterable[pa.RecordBatch], min_len: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes], np.ndarray]]:
+    """Keys, weights, pieces of texts and their offsets, in bounded amounts; very long texts are cut so that no window is in two pieces."""
 
+    def told(rows: list[tuple]) -> tuple:
+        k, t, weight, parts, shift = zip(*rows, strict=True)
+        return np.array(k, np.int64), np.array(t, np.int64), np.array(weight, np.int64), list(parts), np.array(shift, np.int64)
 
-def segments_of(texts: DataFrame, min_len: int, seed: int) -> DataFrame:
-    """``(hv, ch, k, off, windows, weight)`` for each segment of the texts ``(k, text, weight)``."""
+    step = 4 * BLOCK
+    for part in chunks_by_bytes(batches, "text", BLOCK):
+        rows: list[tuple] = []
+        for k, t, w, text in zip(*(part.column(c).to_pylist() for c in ("k", "t", "weight", "text")), strict=True):
+            if len(text) <= step:
+                rows.append((k, t, w, text, 0))
+                continue
+            for s in range(0, len(text) - min_len + 1, step):
+                yield told([(k, t, w, text[s : s + step + min_len - 1], s)])
+        if rows:
+            yield told(rows)
+
+
+def in_bitmap(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which of the hashes (signed) a bitmap of ``window_bitmap`` holds."""
+    cell = (hashes.view(np.uint64) >> np.uint64(64 - (len(bitmap).bit_length() + 2))).astype(np.int64)
+    return ((bitmap[cell >> 3] >> (cell & 7).astype(np.uint8)) & 1).astype(bool)
+
+
+def repeated_minimizers(texts: DataFrame, min_len: int, level: int) -> np.ndarray:
+    """A bitmap that holds every minimizer of weight 2 or more."""
 
     def block(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def told(keys: list, parts: list[bytes], shift: list[int], weight: list[int]) -> pa.RecordBatch:
-            owner, off, windows, hv, ch = cut(parts, min_len, seed)
-            k, s, w = np.array(keys, np.int64), np.array(shift, np.int64), np.array(weight, np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(a) for a in (hv, ch, k[owner], off + s[owner], windows, w[owner])], names)
+        for _, _, weight, parts, _ in pieces_of(batches, min_len):
+            _, _, _, hv, owner, _ = cut(parts, min_len, gram_of(level, min_len), level)
+            yield pa.RecordBatch.from_arrays([pa.array(hv), pa.array(weight[owner])], ["hash", "weight"])
 
-        for part in chunks_by_bytes(batches, "text", BLOCK):
-            keys, parts, shift, weight = [], [], [], []
-            for k, t, w in zip(part.column("k").to_pylist(), part.column("text").to_pylist(), part.column("weight").to_pylist(), strict=True):
-                step = 4 * BLOCK  # a very long text is cut in pieces whose windows do not overlap
-                for s in range(0, max(1, len(t) - min_len + 1), step):
-                    keys, parts, shift, weight = keys + [k], parts + [t[s : s + step + min_len - 1] if len(t) > step else t], shift + [s], weight + [w]
-                    if len(t) > step:
-                        yield told(keys, parts, shift, weight)
-                        keys, parts, shift, weight = [], [], [], []
-            if keys:
-                yield told(keys, parts, shift, weight)
+    counted = texts.mapInArrow(block, "hash bigint, weight bigint").groupBy("hash").agg(F.sum("weight").alias("weight"))
+    return window_bitmap(counted.where("weight > 1"), MINIMIZER_BITS)
+
+
+def segments_of(texts: DataFrame, min_len: int, level: int, bitmap: np.ndarray) -> DataFrame:
+    """``(hv, ch, k, t, at, weight)`` for each segment whose minimizer the bitmap holds; ``at`` is its offset and windows in one number."""
+    known = texts.sparkSession.sparkContext.broadcast(bitmap)
 
-    names = ["hv", "ch", "k", "off", "windows", "weight"]
-    return texts.select("k", "text", "weight").mapInArrow(block, ", ".join(f"{c} bigint" for c in names))
+    def block(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_64_intdigest
+        for k, t, weight, parts, shift in pieces_of(batches, min_len):
+            data, begin, windows, hv, owner, off = cut(parts, min_len, gram_of(level, min_len), level)
+            some = np.flatnonzero(in_bitmap(known.value, hv))
+            begin, windows, hv, owner, off = (x[some] for x in (begin, windows, hv, owner, off))
+            view = memoryview(data)
+            ch = np.array([digest(view[a:b], level) for a, b in zip(begin.tolist(), (begin + windows + min_len - 1).tolist(), strict=True)], np.uint64).view(np.int64)
+            columns = (hv, ch, k[owner], t[owner], (off + shift[owner]) << 16 | windows, weight[owner])
+            for i in range(0, len(hv), 50_000):
+                yield pa.RecordBatch.from_arrays([pa.array(x[i : i + 50_000]) for x in columns], names)
+
+    names = ["hv", "ch", "k", "t", "at", "weight"]
+    return texts.select("k", "t", "weight", "text").mapInArrow(block, ", ".join(f"{c} bigint" for c in names))
+
+
+#: Offset and windows of a segment; ``min_len`` is below 65,536.
+OFF, WINDOWS = "shiftright(at, 16)", "at & 65535L"
 
 
 def contents_of(texts: DataFrame, wanted: DataFrame, min_len: int) -> DataFrame:
     """``(hv, ch, windows, weight, text)`` of the wanted segments, read from the texts that represent them."""
-    lists = wanted.groupBy("k").agg(F.collect_list(F.struct("hv", "ch", "off", "windows", "weight")).alias("list")).withColumnRenamed("k", "__k")
-    met = texts.select("k", "text").join(lists, F.col("k") == F.col("__k")).select("text", "list")
+    lists = wanted.groupBy("k", "t").agg(F.collect_list(F.struct("hv", "ch", F.expr(OFF).alias("off"), F.expr(WINDOWS).alias("windows"), "weight")).alias("list"))
+    known = texts.sparkSession.sparkContext.broadcast(window_bitmap(wanted.select(F.xxhash64("k", "t").alias("hash"))))
+
+    def held(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(in_bitmap(known.value, batch.column(3).to_numpy())))
+
+    some = texts.select("k", "t", "text", F.xxhash64("k", "t").alias("hash")).mapInArrow(held, "k bigint, t bigint, text binary, hash bigint")
+    met = some.groupBy("k", "t").agg(F.first("text").alias("text")).join(lists, ["k", "t"]).select("text", "list")
 
     def block(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks_by_bytes(batches, "text", BLOCK):
@@ -324,34 +387,24 @@ def shard_runs(contents: DataFrame, min_len: int) -> DataFrame:
 
 
 def repeated_runs(texts: DataFrame, min_len: int, level: int = 0) -> DataFrame:
-    """``(k, off, runs)``: runs of repeated window starts in the segment at ``off`` of the text ``k``.
+    """``(k, t, off, runs)``: runs of repeated window starts in the segment at ``off`` of the text ``(k, t)``.
 
-    ``texts`` has ``k`` (long), ``text`` (binary) and ``weight``, the number of copies that a row stands for. Rows
-    with the same ``k`` must have the same text.
+    ``texts`` has two longs ``k`` and ``t`` that name the text, ``text`` (binary) and ``weight``, the copies that a row stands for.
     """
-    rows = segments_of(texts, min_len, level)
-    place = F.shiftleft("off", 16).bitwiseOR(F.col("windows"))  # one number in the shuffles; min_len is below 65,536
-    distinct = rows.withColumn("at", place).groupBy("hv", "ch").agg(F.sum("weight").alias("weight"), F.first("k").alias("k"), F.first("at").alias("at"))
-    # Each minimizer's weight and number of different segments; a minimizer of weight 1 has no repeated window.
-    same = Window.partitionBy("hv")
-    counted = distinct.withColumns({"total": F.sum("weight").over(same), "kinds": F.count("*").over(same)})
-    unpacked = {"off": F.shiftright("at", 16), "windows": F.col("at").bitwiseAND(F.lit(0xFFFF).cast("bigint"))}
-    wanted = durable(counted.where("total >= 2").withColumns(unpacked).drop("total", "at"))
-    release(texts.sparkSession)
-    crowded = F.col("kinds") > CROWD
-    usual = wanted.where(~crowded) if level + 1 < LEVELS else wanted
-    runs = shard_runs(contents_of(texts, usual, min_len), min_len)
-    if level + 1 < LEVELS and not wanted.where(crowded).isEmpty():
-        # A segment's content hash names it as a text of its own.
-        again = durable(contents_of(texts, wanted.where(crowded), min_len)).select("hv", "ch", F.col("ch").alias("k"), "text", "weight")
-        finer = repeated_runs(again, min_len, level + 1)
-        shifted = finer.select(F.col("k").alias("ch"), F.transform("runs", lambda r: (r + F.col("off")).cast("int")).alias("runs"))
-        named = shifted.join(again.select("hv", "ch"), "ch").groupBy("hv", "ch").agg(F.flatten(F.collect_list("runs")).alias("runs"))
-        runs = runs.unionByName(named)
-    runs = durable(runs)
-    release(texts.sparkSession)
-    mine = rows.select("hv", "ch", "k", "off")
-    return mine.join(runs, ["hv", "ch"]).select("k", "off", "runs")
+    rows = durable(segments_of(texts, min_len, level, repeated_minimizers(texts, min_len, level)))
+    distinct = rows.groupBy("hv", "ch").agg(F.sum("weight").alias("weight"), *(F.first(c).alias(c) for c in ("k", "t", "at")))
+    totals = distinct.groupBy("hv").agg(F.sum("weight").alias("total"), F.count("*").alias("kinds")).where("total > 1")
+    wanted = durable(distinct.join(totals, "hv").drop("total"))
+    # A segment that is alone with its minimizer, two copies at least, is repeated as a whole.
+    runs = wanted.where("kinds = 1").select("hv", "ch", F.array(F.lit(0), F.expr(WINDOWS).cast("int")).alias("runs"))
+    crowded = (F.col("kinds") > CROWD) if level + 1 < LEVELS else F.lit(False)
+    runs = runs.unionByName(shard_runs(contents_of(texts, wanted.where((F.col("kinds") > 1) & ~crowded), min_len), min_len))
+    if not wanted.where(crowded).isEmpty():
+        # A segment's two hashes name it as a text of its own.
+        again = durable(contents_of(texts, wanted.where(crowded), min_len).select(F.col("ch").alias("k"), F.col("hv").alias("t"), "text", "weight"))
+        finer = repeated_runs(again, min_len, level + 1).select(F.col("t").alias("hv"), F.col("k").alias("ch"), F.transform("runs", lambda r: (r + F.col("off")).cast("int")).alias("runs"))
+        runs = runs.unionByName(finer.groupBy("hv", "ch").agg(F.flatten(F.collect_set("runs")).alias("runs")))
+    return rows.select("hv", "ch", "k", "t", F.expr(OFF).alias("off")).join(durable(runs), ["hv", "ch"]).select("k", "t", "off", "runs")
 
 
 # ---------------------------------------------------------------- operator
@@ -369,9 +422,9 @@ def merged(lists: list[dict], min_len: int, size: int) -> list[tuple[int, int]]:
     return out
 
 
-def text_key(id_col: str, text: Column, whole: bool) -> Column:
-    """A long that names a row's text: an integer id, else a hash of id and text."""
-    hashed = F.xxhash64(F.lit(id_col), F.col(id_col), text)
+def id_key(id_col: str, whole: bool) -> Column:
+    """A long for a row's id: an integer id itself, else a hash (null among them); a hash of the text stands beside it."""
+    hashed = F.xxhash64(F.lit(id_col), F.col(id_col))
     return F.coalesce(F.col(id_col).cast("bigint"), hashed) if whole else hashed
 
 
@@ -379,19 +432,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``(id, kept, n_bytes, n_removed, n_spans, spans)`` for each row: the UTF-8 bytes that stay, as binary.
 
     Matches never cross rows, overlapping occurrences count, and strings are judged on the input. Null is empty;
-    texts shorter than ``min_len`` stay. Repeated rows are occurrences of each other. An integer id must name one
-    text; null and other ids are told apart by their text too. ``spans`` lists removed byte ranges ``[begin, end)``.
-    An empty table gives none; other columns are not read.
+    texts shorter than ``min_len`` stay. Repeated rows are occurrences of each other; rows of one id may have
+    different texts, and ids may be null. ``spans`` lists removed byte ranges ``[begin, end)``. An empty table gives
+    none; other columns are not read.
     """
     if not 8 <= min_len < 1 << 16:
         raise ValueError("min_len must be from 8 to 65,535")
     short_batches(docs.sparkSession)
     text = text_bytes(text_col)
     whole = isinstance(docs.schema[id_col].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
-    rows = docs.select(F.col(id_col).alias("__id"), text_key(id_col, text, whole).alias("k"), text.alias("text"), F.lit(1).cast("bigint").alias("weight"))
-    runs = repeated_runs(rows, min_len)
-    spans = runs.groupBy("k").agg(F.collect_list(F.struct("off", "runs")).alias("list")).withColumnRenamed("k", "__k")
-    met = rows.join(spans, F.col("k") == F.col("__k"), "left").select("__id", "text", "list")
+    rows = docs.select(F.col(id_col).alias("__id"), id_key(id_col, whole).alias("k"), F.xxhash64(text).alias("t"), text.alias("text"), F.lit(1).cast("bigint").alias("weight"))
+    runs = repeated_runs(rows.drop("__id"), min_len)
+    spans = runs.groupBy("k", "t").agg(F.collect_set(F.struct("off", "runs")).alias("list"))
+    met = rows.join(spans, ["k", "t"], "left").select("__id", "text", "list")
     kind = rows.schema["__id"].dataType.simpleString()
 
     def block(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
