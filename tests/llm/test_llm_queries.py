@@ -16,7 +16,8 @@ def test_equals_sql(spark, name):
     df = queries.QUERIES[name](spark, SF)
     columns = sorted(df.columns)
     db = duckdb.connect()
-    db.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for t in ("documents", "pages"):
+        db.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     want = db.sql(queries.ORACLE_SQL[name])
     assert sorted(want.columns) == columns
     at = [want.columns.index(c) for c in columns]
@@ -31,18 +32,3 @@ def test_media_contract(spark):
         t = texts[r.doc_id]
         payload = t + b" " * (-len(t) % 192 or (0 if t else 192))
         assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(t), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]))
-
-
-def test_clashing_columns(spark):
-    """Columns that carry the names an operator makes are replaced or pass through, never an error."""
-    from pyspark.sql import functions as F
-
-    from corpuskit.llm import linededup, quality, simhash, urlfilter
-
-    d = spark.read.parquet(f"{SF}/documents.parquet").withColumns({c: F.lit(1) for c in ("evidence", "keep", "n_lines", "fp", "component_id", "p", "n", "k")})
-    assert simhash.near_duplicates(d).count() == d.count()
-    assert linededup.dedup_lines(d).where("n_lines > 1").count() > 0
-    model = quality.Classifier(0.0, {}, (0.0,) * 9, (0.0,) * 9, (1.0,) * 9)
-    assert quality.score(d, model).select("keep").distinct().count() == 1
-    pages = spark.read.parquet(f"{SF}/pages.parquet").withColumns({c: F.lit("x") for c in ("host", "path", "rule", "verdict")})
-    assert urlfilter.filter_urls(pages, urlfilter.UrlModel(0.0, ()), []).where("host = 'x'").count() == 0
