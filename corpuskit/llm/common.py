@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 from collections.abc import Iterable, Iterator
 
@@ -40,12 +39,6 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def release(spark: SparkSession) -> None:
-    """Let the driver drop what finished steps hold, so that their shuffle files leave the executors' disks."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def short_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     """Bound the rows of an Arrow batch, so that long texts cannot pile up in a Python worker."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > rows:

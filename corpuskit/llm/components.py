@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from .common import durable
 
 
+#: Edges of a file at least, on average, as long as there are so many.
+ROWS = 10_000
+
+
 def connected_components(edges: DataFrame, src: str = "u", dst: str = "v", max_rounds: int = 60) -> DataFrame:
     """``(node, component)`` for every node of an edge, the component named by its smallest node.
 
@@ -22,6 +26,7 @@ def connected_components(edges: DataFrame, src: str = "u", dst: str = "v", max_r
         .distinct()
     )
     pairs, seen = durable(pairs), None
+    rows = pairs.count()
     for _ in range(max_rounds):
         # Large star: every larger neighbour of a node moves to the smallest of the neighbourhood.
         both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -30,7 +35,8 @@ def connected_components(edges: DataFrame, src: str = "u", dst: str = "v", max_r
         # Small star: the smaller neighbours of a node, and the node, move to the smallest of them.
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        pairs = durable(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        # Edges never grow in number; few of them go to few files.
+        pairs = durable(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct().coalesce(max(1, rows // ROWS)))
         now = tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
         if now == seen:
             break

@@ -56,24 +56,27 @@ def shingle_hashes(texts: list[bytes], shingle: int, seed: int = 42) -> tuple[np
     return some, number, xxh64_slices(data, begin[first], end[last] - begin[first], seed)
 
 
-def fingerprint_block(texts: list[bytes], shingle: int, seed: int = 42) -> np.ndarray:
-    """SimHash of each text as uint64; a text without words has fingerprint 0."""
-    out = np.zeros(len(texts), np.uint64)
-    some, number, h = shingle_hashes(texts, shingle, seed)
-    if not len(some):
-        return out
+def fingerprints_of(number: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """SimHash as uint64 of each text with words, from the hashes of its ``number`` shingles one after the other."""
     offset = np.cumsum(number) - number
     # Bits are counted in byte lanes over runs of at most 255 shingles, which cannot overflow.
     runs = (number + 254) // 255
     run_offset = np.concatenate(([0], np.cumsum(runs)[:-1]))
     run_start = np.repeat(offset, runs) + 255 * (np.arange(runs.sum()) - np.repeat(run_offset, runs))
-    votes = np.empty((len(some), BITS), np.int64)
+    votes = np.empty((len(number), BITS), np.int64)
     ones = np.uint64(0x0101010101010101)
     for k in range(8):
         lanes = np.add.reduceat((h >> np.uint64(k)) & ones, run_start)
         votes[:, k::8] = np.add.reduceat(lanes.view(np.uint8).reshape(-1, 8).astype(np.int64), run_offset, axis=0)
-    set_ = votes * 2 > number[:, None]
-    out[some] = np.packbits(set_, axis=1, bitorder="little").view("<u8").ravel()
+    return np.packbits(votes * 2 > number[:, None], axis=1, bitorder="little").view("<u8").ravel()
+
+
+def fingerprint_block(texts: list[bytes], shingle: int, seed: int = 42) -> np.ndarray:
+    """SimHash of each text as uint64; a text without words has fingerprint 0."""
+    out = np.zeros(len(texts), np.uint64)
+    some, number, h = shingle_hashes(texts, shingle, seed)
+    if len(some):
+        out[some] = fingerprints_of(number, h)
     return out
 
 
