@@ -714,7 +714,8 @@ def test_clashing_columns_of_all_operators(spark, tmp_path):
 
 def test_very_long_texts(spark, tmp_path):
     """One text of a few megabytes, words and lines of any length."""
-    long = "".join(random.Random(22).choice("abcdefghij \n") for _ in range(1_500_000)) + "x" * 300_000
+    rnd = random.Random(22)
+    long = "".join(rnd.choices("abcdefghij \n", k=1_500_000)) + "x" * 300_000
     d = docs(spark, [(1, long), (2, "short"), (3, long[1000:])])
     assert {r.doc_id for r in simhash.near_duplicates(d).collect()} == {1, 2, 3}
     assert {r.id: r.component for r in similar.similar_components(d).collect()}.keys() == {1, 2, 3}
