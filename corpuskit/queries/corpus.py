@@ -141,7 +141,7 @@ def near_dup_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @R.add(NEAR_SQL + "SELECT doc_id, rep FROM h")
 def near_dup_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup.near_duplicate_pairs(docs(spark, sf_dir), "doc_id", F.col("text"))[1].select(F.col("id").alias("doc_id"), "rep")
+    return dedup.classes(docs(spark, sf_dir), "doc_id", F.col("text")).select(F.col("id").alias("doc_id"), "rep")
 
 
 @R.add(NEAR_SQL + "SELECT doc_id FROM h WHERE doc_id = rep AND doc_id NOT IN (SELECT b FROM p)")

@@ -40,3 +40,18 @@ def test_near_pairs_move_each_gram_about_once(spark):
     assert sorted((r.a, r.b, r.shared, r.total) for r in pairs.collect()) == [(i, 1000 + i, 298, 299) for i in range(20)]
     assert {r.id: r.rep for r in members.collect()} == {i: 0 if i == 2000 else i for i, _ in texts}
     assert stage_totals(spark)[0] - before < 1.5 * 8 * 298 * len(texts)
+
+
+def test_classes_move_no_sets(spark):
+    df = spark.range(400).select("id", F.array_join(F.transform(F.sequence(F.lit(0), F.lit(200)), lambda k: F.sha2((k * 1000 + F.col("id") % 390).cast("string"), 256)), " ").alias("text"))
+    before = stage_totals(spark)[0]
+    from corpuskit.queries import corpus
+
+    df = df.withColumnRenamed("id", "doc_id")
+    docs, corpus.docs = corpus.docs, lambda *_: df
+    try:
+        got = corpus.near_dup_membership(spark, "").collect()
+    finally:
+        corpus.docs = docs
+    assert sorted((r.doc_id, r.rep) for r in got) == [(i, i % 390) for i in range(400)]
+    assert stage_totals(spark)[0] - before < 100 * 400
