@@ -108,8 +108,8 @@ def multiset_digest(hashes: Column) -> Column:
 
 
 def any_of(text: Column, needles: tuple[str, ...]) -> Column:
-    """Whether the text holds one of the strings."""
-    return F.exists(F.array(*map(F.lit, needles)), lambda n: F.contains(text, n))
+    """Whether the text holds one of the strings; the text, which may be long to make, is made once and not for each of them."""
+    return bound(text, lambda t: F.exists(F.array(*map(F.lit, needles)), lambda n: F.contains(t, n)))
 
 
 def hits(text: Column, patterns: tuple[str, ...]) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import hash_order, title
 from ..operators import evals, review, sweeps
 from ..operators.contamination import gate
+from ..session import durable
 from .corpus import HASH, N, WORDS, docs
 from .registry import Registry, table
 from .tasks import TASKS, scored
@@ -161,6 +162,7 @@ def seeded_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     s = scored(spark, sf_dir)
     pool = s.select("id", "repo", ops.bug_family(F.col("repo"), F.concat("statement", F.lit("\n"), "patch")).alias("family"), "score", F.lit(0).alias("n_flags"))
+    pool = durable(pool)  # read three times; texts are scored once
     seeds = pool.join(table(spark, sf_dir, "labels").where("toxic = 1").select(F.col("doc_id").alias("id")), "id", "left_semi").orderBy("id").limit(6)
     return ops.balanced_greedy(pool, 40, seeds=seeds)
 

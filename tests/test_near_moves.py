@@ -4,8 +4,11 @@ import random
 
 from pyspark.sql import functions as F
 
+from corpuskit.functions.text import any_of
 from corpuskit.operators import dedup
 
+SF = "/root/testdata/sf0.001"
+
 
 def stage_totals(spark):
     """Bytes shuffled and rows read by all stages so far."""
@@ -55,3 +58,19 @@ def test_classes_move_no_sets(spark):
         corpus.docs = docs
     assert sorted((r.doc_id, r.rep) for r in got) == [(i, i % 390) for i in range(400)]
     assert stage_totals(spark)[0] - before < 100 * 400
+
+
+def test_keywords_make_their_text_once(spark):
+    plan = spark.range(1).select(any_of(F.lower(F.col("id").cast("string")), ("a", "b")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains(lower(" not in plan and "lower(" in plan
+    texts = spark.createDataFrame([("abd",), ("ad",), (None,)], "t string")
+    assert [r[0] for r in texts.select(any_of(F.col("t"), ("b", "c"))).collect()] == [True, False, None]
+
+
+def test_seeded_greedy_scores_texts_once(spark):
+    from corpuskit.queries import reviews
+
+    n = spark.read.parquet(f"{SF}/documents.parquet").count()
+    before = stage_totals(spark)[1]
+    reviews.seeded_greedy(spark, SF).collect()
+    assert stage_totals(spark)[1] - before < 2 * n + spark.read.parquet(f"{SF}/labels.parquet").count() * 3
