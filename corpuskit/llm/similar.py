@@ -124,7 +124,10 @@ def described(rows: DataFrame, shingle: int) -> DataFrame:
 
 
 def cell_counts(found: DataFrame) -> np.ndarray:
-    """How many texts hold a shingle of each cell, over all rows; blocks are added up on the executors."""
+    """How many texts hold a shingle of each cell, over all rows; blocks are added up on the executors.
+
+    The sums, at most 8 MB in all, reach the driver in one job and not in one for each partition.
+    """
 
     def add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -140,8 +143,9 @@ def cell_counts(found: DataFrame) -> np.ndarray:
     for salts in (64, 1):  # at most a 64th of the tasks' blocks meet in one task
         blocks = blocks.withColumn("salt", F.col("task") % salts).repartition(CELL_BLOCKS, "cell", "salt").select("cell", "counts").mapInArrow(add, shape)
     out = np.zeros((CELL_BLOCKS, (1 << CELL_BITS) // CELL_BLOCKS), np.int64)
-    for r in blocks.select("cell", "counts").toLocalIterator():
-        out[r["cell"]] = np.frombuffer(zlib.decompress(r["counts"]), np.int64)
+    for batch in blocks.select("cell", "counts").toArrow().to_batches():
+        for cell, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            out[cell] = np.frombuffer(zlib.decompress(data), np.int64)
     return out.ravel()
 
 
@@ -336,20 +340,20 @@ def similar_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # one round unless a clear pair turns out wrong, since others may have been left out on its account.
     none = F.array().cast("array<bigint>")
     failed = pairs.join(edges, ["u", "v"], "left_anti")
-    left = met.join(met.groupBy("g").agg(F.count("*").alias("size")).where("size > 2"), "g").select("g", "key", "size")
+    left = met.select("g", "key")
     for k in range(MOST_ROUNDS):
-        named = left.join(parts.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-        apart = named.groupBy("g").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("g")
+        named = durable(left.join(parts.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key")))
+        apart = named.groupBy("g").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size")).where("size > 2 and low <> high").select("g", "size")
         tried = failed.groupBy(F.col("u").alias("key")).agg(F.collect_set("v").alias("failed"))
-        members = named.join(apart, "g", "left_semi").join(sets.select("key", "n", "bits"), "key").join(tried, "key", "left").withColumn("failed", F.coalesce("failed", none))
+        members = named.join(apart, "g").join(sets.select("key", "n", "bits"), "key").join(tried, "key", "left").withColumn("failed", F.coalesce("failed", none))
         offered = durable(apart_pairs(members, num, den, CLEAR if k == 0 else SURE))
         once = durable(offered.select("u", "v").distinct())
         if once.isEmpty():
             break
         more = verified(once)
         if not more.isEmpty():
-            edges = edges.unionByName(more)
-            parts = connected_components(edges)
+            # The components stand for the edges that made them.
+            parts = connected_components(parts.select(F.col("node").alias("u"), F.col("component").alias("v")).unionByName(more))
         wrong = durable(offered.where("clear").join(more, ["u", "v"], "left_anti"))
         if wrong.isEmpty():
             break
