@@ -436,6 +436,18 @@ def test_min_cut_is_minimal():
         assert abs(value(htmlcut.min_cut(cost, edges)) - best) < 1e-6
 
 
+def test_capitals_and_digits_of_whole_blocks():
+    """Shares count every character of a block, far behind its beginning too, in any script."""
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choice(s) for _ in range(n)) for s in ("abC1", "éÉßΩω٣²中", "aÉ9 Ⅷ字𝐀") for n in (1, 399, 400, 401, 5000)]
+    texts = [" ".join(t.split()) or "x" for t in [*texts, "a" * 400 + "BC12" * 600, "a" * 400 + "ÀЖ٣²" * 600]]
+    elements, blocks = htmlcut.blocks_of("".join(f"<p>{t}</p>" for t in texts))
+    assert [b.text for b in blocks] == texts
+    at = [htmlcut.FEATURES.index(f) for f in ("capitals", "digits")]
+    for t, row in zip(texts, htmlcut.features(elements, blocks), strict=True):
+        assert [row[k] for k in at] == [sum(map(kind, t)) / len(t) for kind in (str.isupper, str.isdigit)]
+
+
 def test_extraction_odd_rows(spark):
     df = spark.createDataFrame([(1, "u", None, "mine"), (None, None, "", None), (3, "u", "<p>Hi there</p>", "x")], "page_id bigint, url string, html string, text string")
     assert [(r.page_id, r.text, r.n_chars) for r in htmlcut.extract_main_text(df).collect()] == [(1, "", 0), (None, "", 0), (3, "Hi there", 8)]
