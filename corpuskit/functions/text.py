@@ -18,14 +18,24 @@ def norm(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), WHITE, " "))
 
 
+def masked(normal: Column) -> Column:
+    """A normal form with every run of digits masked."""
+    return F.regexp_replace(normal, DIGITS, "N")
+
+
 def norm_nonum(text: Column) -> Column:
     """The normal form with every run of digits masked."""
-    return F.regexp_replace(norm(text), DIGITS, "N")
+    return masked(norm(text))
+
+
+def norm_words(normal: Column) -> Column:
+    """Words of a normal form; none for a blank one."""
+    return F.filter(F.split(normal, " ", -1), lambda w: w != "")
 
 
 def words(text: Column) -> Column:
     """Words of the normal form; none for a blank text."""
-    return F.filter(F.split(norm(text), " ", -1), lambda w: w != "")
+    return norm_words(norm(text))
 
 
 def word_count(text: Column) -> Column:
@@ -50,15 +60,19 @@ def shingles(words_: Column, k: int, whole_if_short: bool = True) -> Column:
 
 
 def gram_hashes(words_: Column, k: int, whole_if_short: bool = True) -> Column:
-    """As ``shingles``, each gram as a 64-bit hash of its words' hashes: eight bytes in place of a string."""
+    """As ``shingles``, each gram as a 64-bit hash of its words' hashes: eight bytes in place of a string.
+
+    Words are read by place, since a slice for each gram would be copied, and grams are made distinct outside the
+    lambdas, where Spark compiles it.
+    """
     none = F.array().cast("array<bigint>")
 
     def grams(w: Column) -> Column:
-        every = F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - k, F.lit(0))), lambda i: F.xxhash64(F.slice(w, i + 1, k)))
+        every = F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - k, F.lit(0))), lambda i: F.xxhash64(*(F.get(w, i + j) for j in range(k))))
         short = F.when(F.size(w) == 0, none).otherwise(F.array(F.xxhash64(w))) if whole_if_short else none
-        return F.array_distinct(F.when(F.size(w) < k, short).otherwise(every))
+        return F.when(F.size(w) < k, short).otherwise(every)
 
-    return bound(F.transform(words_, lambda x: F.xxhash64(x)), grams)
+    return F.array_distinct(bound(F.transform(words_, lambda x: F.xxhash64(x)), grams))
 
 
 def strip_white(text: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import norm, word_count
+from ..functions.text import masked, norm, norm_words, word_count
 from ..session import durable
 from . import contamination, dedup
 from .mixture import dense_ids, group_places
@@ -72,14 +72,19 @@ def cascade(df: DataFrame, benchmark: DataFrame, id_col: str, slice_col: str, so
     and a source's rows are counted over ranges, so no slice or source has to fit a task.
     """
     text = F.col("text")
-    rows = contamination.keyed(df.select(F.col(id_col).alias("id"), F.col(slice_col).alias("slice"), F.col(source_col).alias("source"), "text"), text)
-    rows = durable(rows.withColumn("short", word_count(text) < SHORT_WORDS).drop("text"))
+    # One pass over the texts: normal form, words and grams are made once and serve all screens.
+    rows = df.select(F.col(id_col).alias("id"), F.col(slice_col).alias("slice"), F.col(source_col).alias("source"), norm(text).alias("normal"))
+    rows = rows.select("id", "slice", "source", F.md5("normal").alias("h"), F.md5(masked(F.col("normal"))).alias("hn"), norm_words(F.col("normal")).alias("words"))
+    rows = rows.select("id", "slice", "source", "h", "hn", (F.size("words") < SHORT_WORDS).alias("short"), dedup.gram_set(F.col("words")).alias("grams"))
+    rows = durable(rows.select("id", "slice", "source", "h", "hn", "short", *dedup.lead_columns(F.col("grams"))))
+    sets = rows.select("id", "h1", "h2", "n", "lead")
+    rows = durable(rows.select("id", "slice", "source", "h", "hn", "short"))
     items = contamination.keyed(benchmark.select(F.col("item_id").alias("id"), "text"), text)
     rows = dedup.first_occurrence(contamination.screen(rows, items.select("h", "hn")), F.col("h"), "id")
-    pairs, members = dedup.near_duplicate_pairs(df, id_col, text)
-    later = pairs.select(F.col("b").alias("rep")).distinct().withColumn("__later", F.lit(True))
+    later, members = dedup.later_copies(sets, df, id_col, text)
+    later = later.select(F.col("id").alias("rep")).withColumn("__later", F.lit(True))
     near = members.join(later, "rep", "left").where(F.col("__later") | (F.col("id") != F.col("rep"))).select(F.col("id").alias("__near"))
-    leak = contamination.similar(items.select("id", "text"), df.select(F.col(id_col).alias("id"), "text"), 3, 4, 5).select(F.col("r").alias("__leak")).distinct()
+    leak = contamination.similar_by_leads(items.select("id", "text"), df.select(F.col(id_col).alias("id"), "text"), sets).select(F.col("r").alias("__leak")).distinct()
     rows = rows.join(near, F.col("id") == F.col("__near"), "left").join(leak, F.col("id") == F.col("__leak"), "left")
     why = (
         F.when(F.col("exact") | F.col("nonum"), "benchmark").when(~F.col("is_first"), "dup")

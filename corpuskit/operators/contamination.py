@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import gram_hashes, norm, norm_nonum, words
 from ..session import durable
+from . import dedup
 
 #: Most grams that are broadcast (about 40 bytes each).
 MOST_BROADCAST = 500_000
@@ -53,6 +54,24 @@ def similar(left: DataFrame, right: DataFrame, k: int = 3, num: int = 4, den: in
     return overlaps(left, right, k, True, small).where(F.col("shared") * den >= total * num).select("l", "r", "shared", total.alias("total"))
 
 
+def similar_by_leads(items: DataFrame, texts: DataFrame, leads: DataFrame, k: int = 3, num: int = 4, den: int = 5) -> DataFrame:
+    """As ``similar`` for few ``items``, where the ``leads`` of the texts' sets (``id``, ``n``, ``lead``) are known.
+
+    A set that is similar to an item's shares ``lead_share`` of the smaller one in its lead (see ``dedup``), so whole
+    sets are built only for texts that do; these are compared in full.
+    """
+    own = dedup.shingle_sets(items, "id", F.col("text"), k).where(F.size("grams") > 0)
+    own = own.select(F.col("id").alias("l"), F.size("grams").alias("nl"), F.explode(dedup.lead(F.col("grams"), num, den)).alias("g"))
+    held = durable(own)
+    met = leads.select(F.col("id").alias("r"), F.col("n").alias("nr"), F.explode("lead").alias("g")).join(F.broadcast(held) if held.count() <= MOST_BROADCAST else held, "g")
+    near = (F.col("nl") * den >= F.col("nr") * num) & (F.col("nr") * den >= F.col("nl") * num)
+    least = dedup.lead_share(dedup.least_shared(F.least("nl", "nr"), num, den), num, den)
+    wanted = met.where(near).groupBy("l", "r", "nl", "nr").agg(F.count("*").alias("shared")).where(F.col("shared") >= least)
+    # Written out, since Spark asks a set that is exploded for its size already in the scan, for every text.
+    few = durable(dedup.joined_ids(texts, "id", wanted.select(F.col("r").alias("id")).distinct(), "left_semi"))
+    return similar(items, few, k, num, den)
+
+
 def gate(name: str, violations: DataFrame) -> DataFrame:
     """One row ``(gate, n_violations, verdict)``; raises nothing by itself."""
     return violations.agg(F.count("*").alias("n_violations")).select(F.lit(name).alias("gate"), "n_violations", F.when(F.col("n_violations") == 0, "CLEAN").otherwise("CONTAMINATED").alias("verdict"))
